@@ -105,6 +105,7 @@ def _carried(
     summary = df.groupBy(key, here.alias(SEGMENT)).agg(*aggregates)
 
     carried_columns = [c for group in carry for c in group]
+    types = {f.name: f.dataType for f in df.schema.fields}
     by_segment = Window.partitionBy(key).orderBy(SEGMENT)
 
     def latest(kind: str, group: Sequence[str], until: int) -> Column:
@@ -119,10 +120,12 @@ def _carried(
         frame = by_segment.rangeBetween(Window.unboundedPreceding, until)
         return F.max(F.when(F.col(f"{kind}_{lead}").isNotNull(), row)).over(frame)
 
-    types = {f.name: f.dataType for f in df.schema.fields}
-    candidates = [F.greatest(latest("late", g, -2), latest("early", g, -1)) for g in carry]
+    found = {
+        f"_before_{g[0]}": F.greatest(latest("late", g, -2), latest("early", g, -1)) for g in carry
+    }
     return (
-        summary.select(key, SEGMENT, F.explode(F.array(*candidates)).alias("_row"))
+        summary.withColumns(found)
+        .select(key, SEGMENT, F.explode(F.array(*found)).alias("_row"))
         .filter(F.col("_row").isNotNull())
         .select(key, SEGMENT, F.lit(False).alias(OWN), "_row.*")
     )
