@@ -47,19 +47,23 @@ def stage_cascade(rules: Sequence[tuple[Column, int | None]], otherwise: int | N
     return chain.otherwise(F.lit(otherwise)).cast("int")
 
 
-def repeat_rows(df: DataFrame, copies: str, *, block: int = 1_000) -> DataFrame:
+def repeat_rows(
+    df: DataFrame, copies: str, *, spread_by: Sequence[str], block: int = 1_000
+) -> DataFrame:
     """Each row ``copies`` times, without the ``copies`` column.
 
-    Rows are first cut into blocks and the blocks spread over the cluster, so that the
-    copies of one row are neither built in one array nor all written by one task.
+    Rows are first cut into blocks and the blocks spread over the cluster by the given
+    columns and their number, so that the copies of one row are neither built in one
+    array nor all written by one task.
     """
     columns = [c for c in df.columns if c != copies]
+    one = F.lit(1).cast("long")
     blocks = df.filter(F.col(copies) > 0).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / block)))
+        "_block", F.explode(F.sequence(one, F.ceil(F.col(copies) / block)))
     )
-    size = F.least(F.lit(block).cast("long"), F.col(copies) - F.col("_block") * block)
+    size = F.least(F.lit(block).cast("long"), F.col(copies) - (F.col("_block") - 1) * block)
     return (
-        blocks.repartition(*columns, "_block")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+        blocks.repartition(*spread_by, "_block")
+        .withColumn("_copy", F.explode(F.sequence(one, size)))
         .select(*columns)
     )

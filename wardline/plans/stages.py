@@ -82,8 +82,13 @@ def kdigo_stages(
         urine_stage(F.col(_TIME), rates, hours).alias("aki_stage_uo"),
         F.lit(True).alias("_measured"),
     )
-    events = _events_per_offset(dialysis_events, normalize_labels)
-    chronic = events.groupBy(STAY).agg(F.max("_chronic").alias("_chronic"))
+    dated = _dated_events(dialysis_events, normalize_labels)
+    chronic = (
+        dated.filter(F.col("kind").isin(_spelled(vocab.CHRONIC_TYPES, normalize_labels)))
+        .select(STAY, F.lit(True).alias("_chronic"))
+        .distinct()
+    )
+    events = _events_per_offset(dated, normalize_labels)
     replacement = near_event(
         events, STAY, _TIME, flag=F.col("_acute") > 0, minutes=NEAR_MINUTES, name="_near"
     ).select(
@@ -126,33 +131,36 @@ def kdigo_stages(
         {"aki_stage_smoothed": Trailing(F.max("aki_stage"), SMOOTHING_MINUTES)},
     )
     columns = DERIVED["kdigo_stages"].fieldNames()
-    repeated = smoothed.filter(F.col("_events") > 1).select(
-        *columns, (F.col("_events") - 1).alias("_copies")
-    )
-    result = smoothed.select(*columns).unionByName(repeat_rows(repeated, "_copies"))
+    copies = F.greatest(F.col("_events"), F.lit(1).cast("long")).alias("_copies")
+    result = repeat_rows(smoothed.select(*columns, copies), "_copies", spread_by=[STAY, _TIME])
     return result.orderBy(STAY, _TIME) if ordered else result
 
 
-def _events_per_offset(dialysis_events: DataFrame, normalize_labels: bool) -> DataFrame:
-    """Dated dialysis events as counts per stay and offset, combined map-side."""
-
-    def spelled(names: tuple[str, ...]) -> list[str]:
-        return [n.replace(" ", "_") if normalize_labels else n for n in names]
-
+def _dated_events(dialysis_events: DataFrame, normalize_labels: bool) -> DataFrame:
     kind = F.col("dialysis_type")
     if normalize_labels:
         kind = F.translate(kind, " ", "_")
+    return dialysis_events.filter(F.col(_TIME).isNotNull()).select(
+        STAY, _TIME, kind.alias("kind")
+    )
+
+
+def _spelled(names: tuple[str, ...], normalize_labels: bool) -> list[str]:
+    return [n.replace(" ", "_") if normalize_labels else n for n in names]
 
-    def count(names: list[str]) -> Column:
-        return F.count(F.when(kind.isin(names), True))
 
+def _events_per_offset(dated: DataFrame, normalize_labels: bool) -> DataFrame:
+    """Counts of the events that may matter per stay and offset, combined map-side."""
+    acute = _spelled(vocab.ACUTE_TYPES, normalize_labels)
+    unknown = _spelled(vocab.UNKNOWN_TYPES, normalize_labels)
+    output = [vocab.DIALYSIS_OUTPUT]
+    kind = F.col("kind")
     return (
-        dialysis_events.filter(F.col(_TIME).isNotNull())
+        dated.filter(kind.isin(acute + unknown + output))
         .groupBy(STAY, _TIME)
         .agg(
-            count(spelled(vocab.ACUTE_TYPES)).alias("_acute"),
-            count(spelled(vocab.UNKNOWN_TYPES)).alias("_unknown"),
-            count([vocab.DIALYSIS_OUTPUT]).alias("_output"),
-            (count(spelled(vocab.CHRONIC_TYPES)) > 0).alias("_chronic"),
+            F.count_if(kind.isin(acute)).alias("_acute"),
+            F.count_if(kind.isin(unknown)).alias("_unknown"),
+            F.count_if(kind.isin(output)).alias("_output"),
         )
     )

@@ -75,7 +75,9 @@ def weight_records(
         ),
     ]
     return reduce(DataFrame.unionByName, sources).filter(
-        F.col("weight").between(LOWEST, HIGHEST) & F.col("chartoffset").isNotNull()
+        F.col("weight").between(LOWEST, HIGHEST)
+        & F.col("chartoffset").isNotNull()
+        & F.col(STAY).isNotNull()
     )
 
 
@@ -175,6 +177,8 @@ def _with_first_admit_moved(records: DataFrame, stays: DataFrame) -> DataFrame:
             "weight",
         )
         .unionByName(moved.select(STAY, "move.*", "weight_type", "weight"))
+        # Stated here so that every consumer has the same plan and shares one shuffle.
+        .filter(F.col("startoffset").isNotNull())
         .groupBy(STAY, "startoffset", "weight_type", "weight")
         .agg(F.sum("copies").alias("copies"))
         .filter(F.col("copies") > 0)
@@ -205,4 +209,4 @@ def _zero_length(counts: DataFrame, starts: DataFrame, stays: DataFrame) -> Data
             "copies",
         )
     )
-    return repeat_rows(rest, "copies")
+    return repeat_rows(rest, "copies", spread_by=[STAY, "startoffset", "weight"])

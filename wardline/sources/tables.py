@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +23,29 @@ def read_sources(
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write a derived table and hand back a DataFrame that reads it.
-
-    Use it between plans when a derived table has several consumers, on a path all
-    executors can reach: later plans then start from files, whatever becomes of the
-    executors that made them.
-    """
+    """Write a derived table and hand back a DataFrame that reads it."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
+        folder = context.getCheckpointDir()
+    return folder
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Store a derived table that several later steps read.
+
+    The later steps then start from files on shared storage: they are computed once, a
+    lost executor costs no more than the step at hand, and plans stay small. Where no
+    shared folder is named the table is left to be computed as part of its consumers.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    return write_table(df, f"{folder}/{name}-{uuid.uuid4().hex}")

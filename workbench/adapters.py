@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import vocab
-from wardline.schemas import SOURCES
+from wardline.schemas import SOURCES, STAY
 
 _P = vocab.OUTPUT_PREFIX
 
@@ -61,106 +61,167 @@ def _pick(index: Column, values: tuple[str | None, ...]) -> Column:
     return F.get(F.array(*(F.lit(v) for v in values)), index)
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named source tables."""
     ev = events(spark, sf_dir)
-    sid, v, off, k = (F.col(c) for c in ("sid", "v", "off", "k"))
-    entered = (off + 15).alias
-
-    def of(*kinds: str) -> DataFrame:
-        return ev.filter(F.col("et").isin(*kinds))
-
-    stay = sid.alias("patientunitstayid")
-    key = F.col("c_custkey")
-    balance = F.col("c_acctbal")
-    tables = {
-        "patient": table(spark, sf_dir, "customer").select(
-            key.alias("patientunitstayid"),
-            (F.lit(100000) + key % 50).alias("patienthealthsystemstayid"),
-            F.col("c_name").alias("uniquepid"),
-            F.when(key % 3 == 1, 0).when(key % 3 == 2, 30).cast("long").alias("unitadmitoffset"),
-            F.when(key % 7 != 0, 28000).cast("long").alias("unitdischargeoffset"),
-            F.when(key % 4 != 0, balance / 50).alias("admissionweight"),
-            F.when(key % 6 != 0, balance / 40).alias("dischargeweight"),
-        ),
-        "lab": of("view").select(
-            stay,
-            _pick(k % 4, LAB_NAMES).alias("labname"),
-            F.when(k % 29 == 0, None).when(k % 31 == 0, v * 10).otherwise(v / 50).alias("labresult"),
-            off.alias("labresultoffset"),
-        ),
-        # k = 1 gives two treatments at one offset.
-        "treatment": of("purchase")
-        .withColumn("i", F.explode(F.when(k == 1, F.array(k, F.lit(4))).otherwise(F.array(k))))
-        .select(
-            stay,
-            off.alias("treatmentoffset"),
-            F.coalesce(_pick(F.col("i"), TREATMENTS), F.lit("other")).alias("treatmentstring"),
-        ),
-        "nursecharting": of("error").select(
-            stay,
-            F.when(k != 1, off).alias("nursingchartoffset"),
-            entered("nursingchartentryoffset"),
-            F.coalesce(_pick(k, CHART_LABELS), F.lit("Other")).alias("nursingchartcelltypevallabel"),
-        ),
-        "nurseassessment": of("signup").select(
-            stay,
-            F.when(k % 4 != 0, off).alias("nurseassessoffset"),
-            entered("nurseassessentryoffset"),
-            F.when(k == 0, "AV Fistula")
-            .when(k <= 20, vocab.MCS_ASSESSMENT_CELL)
-            .otherwise("Other")
-            .alias("celllabel"),
-            F.when(k >= 1, _pick(k - 1, DEVICE_VALUES)).alias("cellattributevalue"),
-        ),
-        "diagnosis": of("view").select(
-            stay,
-            off.alias("diagnosisoffset"),
-            F.coalesce(_pick(k, DIAGNOSES), F.lit("other")).alias("diagnosisstring"),
-        ),
-        "intakeoutput": of("click", "error").select(
-            stay,
-            F.when(k % 23 != 0, off).alias("intakeoutputoffset"),
-            entered("intakeoutputentryoffset"),
-            F.when(k % 5 == 0, v).when(k % 5 == 1, 0.0).alias("dialysistotal"),
-            _pick(k % 12, CELL_PATHS).alias("cellpath"),
-            F.when(k % 17 == 0, "Bodyweight (kg)")
-            .when(k % 17 == 1, "Bodyweight (lb)")
-            .otherwise("Other")
-            .alias("celllabel"),
-            F.when(k % 13 != 0, v).alias("cellvaluenumeric"),
-        ),
-        "pasthistory": of("signup").select(
-            stay,
-            F.when(k != 31, off).alias("pasthistoryoffset"),
-            entered("pasthistoryenteredoffset"),
-            F.when(k.between(30, 31), _pick(k - 30, HISTORY_PATHS))
-            .otherwise("other")
-            .alias("pasthistorypath"),
-        ),
-        "admissiondx": of("signup").select(
-            stay,
-            off.alias("admitdxenteredoffset"),
-            F.when(k == 40, vocab.DIALYSIS_ADMISSION[0][0]).otherwise("other").alias("admitdxpath"),
-        ),
-        "infusiondrug": of("signup").select(
-            stay, F.when(k % 19 != 0, off).alias("drugstartoffset"), v.alias("patientweight")
-        ),
-        "physicalexam": of("purchase").select(
-            stay,
-            off.alias("physicalexamoffset"),
-            _pick(k % 3, EXAM_PATHS).alias("physicalexampath"),
-            F.when(k % 5 == 0, None)
-            .when(k % 5 == 1, "unknown")
-            .otherwise(
-                F.concat(F.lit("wt "), v.cast("decimal(10,2)").cast("string"), F.lit(" kg"))
-            )
-            .alias("physicalexamtext"),
-        ),
-    }
-    for name, df in tables.items():
+    built = {name: _PROJECTIONS[name](ev) for name in names if name != "patient"}
+    if "patient" in names:
+        built["patient"] = _patient(table(spark, sf_dir, "customer"))
+    for name, df in built.items():
         assert df.columns == SOURCES[name].fieldNames(), name
-    return tables
+    return built
+
+
+def _of(ev: DataFrame, *kinds: str) -> DataFrame:
+    """The events of some types, with the stay and the time they were entered."""
+    return ev.filter(F.col("et").isin(*kinds)).select(
+        F.col("sid").alias("patientunitstayid"), "v", "off", (F.col("off") + 15).alias("entered"), "k"
+    )
+
+
+def _patient(customer: DataFrame) -> DataFrame:
+    key, balance = F.col("c_custkey"), F.col("c_acctbal")
+    return customer.select(
+        key.alias("patientunitstayid"),
+        (F.lit(100000) + key % 50).alias("patienthealthsystemstayid"),
+        F.col("c_name").alias("uniquepid"),
+        F.when(key % 3 == 1, 0).when(key % 3 == 2, 30).cast("long").alias("unitadmitoffset"),
+        F.when(key % 7 != 0, 28000).cast("long").alias("unitdischargeoffset"),
+        F.when(key % 4 != 0, balance / 50).alias("admissionweight"),
+        F.when(key % 6 != 0, balance / 40).alias("dischargeweight"),
+    )
+
+
+def _lab(ev: DataFrame) -> DataFrame:
+    k, v = F.col("k"), F.col("v")
+    return _of(ev, "view").select(
+        STAY,
+        _pick(k % 4, LAB_NAMES).alias("labname"),
+        F.when(k % 29 == 0, None).when(k % 31 == 0, v * 10).otherwise(v / 50).alias("labresult"),
+        F.col("off").alias("labresultoffset"),
+    )
+
+
+def _treatment(ev: DataFrame) -> DataFrame:
+    # k = 1 gives two treatments at one offset.
+    k = F.col("k")
+    entries = F.when(k == 1, F.array(k, F.lit(4))).otherwise(F.array(k))
+    return (
+        _of(ev, "purchase")
+        .withColumn("entry", F.explode(entries))
+        .select(
+            STAY,
+            F.col("off").alias("treatmentoffset"),
+            F.coalesce(_pick(F.col("entry"), TREATMENTS), F.lit("other")).alias("treatmentstring"),
+        )
+    )
+
+
+def _nursecharting(ev: DataFrame) -> DataFrame:
+    k = F.col("k")
+    return _of(ev, "error").select(
+        STAY,
+        F.when(k != 1, F.col("off")).alias("nursingchartoffset"),
+        F.col("entered").alias("nursingchartentryoffset"),
+        F.coalesce(_pick(k, CHART_LABELS), F.lit("Other")).alias("nursingchartcelltypevallabel"),
+    )
+
+
+def _nurseassessment(ev: DataFrame) -> DataFrame:
+    k = F.col("k")
+    cell = (
+        F.when(k == 0, vocab.DIALYSIS_ASSESSMENT_CELL[0][0])
+        .when(k <= 20, vocab.MCS_ASSESSMENT_CELL)
+        .otherwise("Other")
+    )
+    return _of(ev, "signup").select(
+        STAY,
+        F.when(k % 4 != 0, F.col("off")).alias("nurseassessoffset"),
+        F.col("entered").alias("nurseassessentryoffset"),
+        cell.alias("celllabel"),
+        F.when(k >= 1, _pick(k - 1, DEVICE_VALUES)).alias("cellattributevalue"),
+    )
+
 
+def _diagnosis(ev: DataFrame) -> DataFrame:
+    return _of(ev, "view").select(
+        STAY,
+        F.col("off").alias("diagnosisoffset"),
+        F.coalesce(_pick(F.col("k"), DIAGNOSES), F.lit("other")).alias("diagnosisstring"),
+    )
+
+
+def _intakeoutput(ev: DataFrame) -> DataFrame:
+    k, v = F.col("k"), F.col("v")
+    cell = (
+        F.when(k % 17 == 0, "Bodyweight (kg)")
+        .when(k % 17 == 1, "Bodyweight (lb)")
+        .otherwise("Other")
+    )
+    return _of(ev, "click", "error").select(
+        STAY,
+        F.when(k % 23 != 0, F.col("off")).alias("intakeoutputoffset"),
+        F.col("entered").alias("intakeoutputentryoffset"),
+        F.when(k % 5 == 0, v).when(k % 5 == 1, 0.0).alias("dialysistotal"),
+        _pick(k % 12, CELL_PATHS).alias("cellpath"),
+        cell.alias("celllabel"),
+        F.when(k % 13 != 0, v).alias("cellvaluenumeric"),
+    )
+
+
+def _pasthistory(ev: DataFrame) -> DataFrame:
+    k = F.col("k")
+    return _of(ev, "signup").select(
+        STAY,
+        F.when(k != 31, F.col("off")).alias("pasthistoryoffset"),
+        F.col("entered").alias("pasthistoryenteredoffset"),
+        F.coalesce(_pick(k - 30, HISTORY_PATHS), F.lit("other")).alias("pasthistorypath"),
+    )
+
+
+def _admissiondx(ev: DataFrame) -> DataFrame:
+    graft = F.when(F.col("k") == 40, vocab.DIALYSIS_ADMISSION[0][0]).otherwise("other")
+    return _of(ev, "signup").select(
+        STAY, F.col("off").alias("admitdxenteredoffset"), graft.alias("admitdxpath")
+    )
+
+
+def _infusiondrug(ev: DataFrame) -> DataFrame:
+    return _of(ev, "signup").select(
+        STAY,
+        F.when(F.col("k") % 19 != 0, F.col("off")).alias("drugstartoffset"),
+        F.col("v").alias("patientweight"),
+    )
+
+
+def _physicalexam(ev: DataFrame) -> DataFrame:
+    k = F.col("k")
+    weight = F.col("v").cast("decimal(10,2)").cast("string")
+    text = (
+        F.when(k % 5 == 0, None)
+        .when(k % 5 == 1, "unknown")
+        .otherwise(F.concat(F.lit("wt "), weight, F.lit(" kg")))
+    )
+    return _of(ev, "purchase").select(
+        STAY,
+        F.col("off").alias("physicalexamoffset"),
+        _pick(k % 3, EXAM_PATHS).alias("physicalexampath"),
+        text.alias("physicalexamtext"),
+    )
+
+
+_PROJECTIONS = {
+    "lab": _lab,
+    "treatment": _treatment,
+    "nursecharting": _nursecharting,
+    "nurseassessment": _nurseassessment,
+    "diagnosis": _diagnosis,
+    "intakeoutput": _intakeoutput,
+    "pasthistory": _pasthistory,
+    "admissiondx": _admissiondx,
+    "infusiondrug": _infusiondrug,
+    "physicalexam": _physicalexam,
+}
 
 # --- SQL ------------------------------------------------------------------------------
 

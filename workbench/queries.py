@@ -23,6 +23,7 @@ from wardline.operators.series import Trailing, observed_gap, trailing
 from wardline.operators.staging import align_series, near_event
 from wardline.plans.stages import creatinine_stage
 from wardline.plans.weight_durations import admit_offset
+from wardline.sources.tables import kept
 from workbench.adapters import events, sources, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,62 +31,54 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- The seven plans --------------------------------------------------------------------
 
 
-def mcs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sources(spark, sf_dir)
-    return wl.mcs_events(s["treatment"], s["nursecharting"], s["nurseassessment"], s["diagnosis"])
-
-
-def _dialysis(s: dict[str, DataFrame]) -> DataFrame:
-    return wl.dialysis_events(
-        s["treatment"],
-        s["nurseassessment"],
-        s["intakeoutput"],
-        s["diagnosis"],
-        s["pasthistory"],
-        s["admissiondx"],
-    )
-
-
-def _weights(s: dict[str, DataFrame]) -> DataFrame:
-    return wl.weight_durations(
-        s["patient"], s["infusiondrug"], s["physicalexam"], s["intakeoutput"]
-    )
+WEIGHT_TABLES = ("patient", "infusiondrug", "physicalexam", "intakeoutput")
+DIALYSIS_TABLES = (
+    "treatment",
+    "nurseassessment",
+    "intakeoutput",
+    "diagnosis",
+    "pasthistory",
+    "admissiondx",
+)
 
 
-def _urine_rate(s: dict[str, DataFrame]) -> DataFrame:
-    return wl.kdigo_uo(wl.urine_output(s["intakeoutput"]), s["patient"], _weights(s))
+def mcs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = ("treatment", "nursecharting", "nurseassessment", "diagnosis")
+    return wl.mcs_events(**sources(spark, sf_dir, *tables))
 
 
 def dialysis_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dialysis(sources(spark, sf_dir))
+    return wl.dialysis_events(**sources(spark, sf_dir, *DIALYSIS_TABLES))
 
 
 def urine_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wl.urine_output(sources(spark, sf_dir)["intakeoutput"])
+    return wl.urine_output(**sources(spark, sf_dir, "intakeoutput"))
 
 
 def weight_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weights(sources(spark, sf_dir))
+    return wl.weight_durations(**sources(spark, sf_dir, *WEIGHT_TABLES))
 
 
 def kdigo_creatinine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sources(spark, sf_dir)
-    return wl.kdigo_creatinine(s["patient"], s["lab"])
+    return wl.kdigo_creatinine(**sources(spark, sf_dir, "patient", "lab"))
 
 
 def kdigo_uo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _urine_rate(sources(spark, sf_dir))
+    return wl.kdigo_uo(
+        kept(urine_output(spark, sf_dir), "urine_output"),
+        sources(spark, sf_dir, "patient")["patient"],
+        kept(weight_durations(spark, sf_dir), "weight_durations"),
+    )
 
 
 def kdigo_stages(
     spark: SparkSession, sf_dir: str, *, normalize_labels: bool = False
 ) -> DataFrame:
-    s = sources(spark, sf_dir)
     return wl.kdigo_stages(
-        s["patient"],
-        wl.kdigo_creatinine(s["patient"], s["lab"]),
-        _urine_rate(s),
-        _dialysis(s),
+        sources(spark, sf_dir, "patient")["patient"],
+        kept(kdigo_creatinine(spark, sf_dir), "kdigo_creatinine"),
+        kept(kdigo_uo(spark, sf_dir), "kdigo_uo"),
+        kept(dialysis_events(spark, sf_dir), "dialysis_events"),
         normalize_labels=normalize_labels,
     )
 
@@ -163,7 +156,7 @@ def _signup_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("sid").alias("patientunitstayid"), "off")
         .agg(F.max("v").alias("v"))
     )
-    patient = sources(spark, sf_dir)["patient"]
+    patient = sources(spark, sf_dir, "patient")["patient"]
     bounds = patient.select(
         "patientunitstayid", admit_offset(patient).alias("admit"), "unitdischargeoffset"
     )
