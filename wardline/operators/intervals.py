@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from wardline.operators.segments import (
     SEGMENT,
-    WIDTH,
     own_rows,
     segment_of,
+    segment_width,
     segment_window,
     segmented,
 )
@@ -28,7 +28,7 @@ def validity_intervals(
     margin: int,
     payload: Sequence[str],
     first_payload: dict[str, str] | None = None,
-    width: int = WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """Half-open intervals ``[startoffset, endoffset)`` between the times of a series.
 
@@ -40,7 +40,7 @@ def validity_intervals(
     columns named in ``first_payload`` (by default the same as the payload).
     """
     first_payload = first_payload or {c: c for c in payload}
-    rows = starts.withColumn(SEGMENT, segment_of(F.col(time), width))
+    rows = starts.withColumn(SEGMENT, segment_of(F.col(time), width or segment_width()))
 
     # One row per (key, segment): where the next segment of the key begins.
     by_segment = Window.partitionBy(key).orderBy(SEGMENT)
@@ -102,7 +102,7 @@ def interval_lookup(
     start: str,
     end: str,
     values: Sequence[str],
-    width: int = WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """Add the values of the interval that holds each point, NULL where none does.
 

@@ -11,10 +11,10 @@ receives *context rows* from outside:
   the first column of the group is set, for "previous row" and "value in force"
   questions, which have no bounded reach.
 
-Only rows near an edge are copied: with 30-day segments and a one-day frame that is one
-row in thirty for a stay of many months and none for a stay shorter than a segment. A
-series with one row per (key, minute) therefore has at most ``width + back + ahead``
-rows plus the carried ones in a segment, however many rows the key has in all.
+Segments are at least a week and four times the reach of the frame, so at most one row
+in four is copied, and few of a stay shorter than a segment. A series with one row per
+(key, minute) therefore has at most ``width + back + ahead`` rows plus the carried ones
+in a segment, however many rows the key has in all.
 """
 
 from __future__ import annotations
@@ -27,15 +27,19 @@ from pyspark.sql import functions as F
 SEGMENT = "_segment"
 OWN = "_own"
 
-#: Thirty days. The first segment starts a week before admission, the earliest lab in use.
-WIDTH = 43_200
-ORIGIN = -10_080
+WEEK = 10_080
+#: A segment starts a week before admission, where the earliest labs in use lie.
+ORIGIN = -WEEK
 
 #: Rows without a time sort last, in a segment of their own.
 UNDATED = 2**62
 
 
-def segment_of(time: Column, width: int = WIDTH) -> Column:
+def segment_width(back: int = 0, ahead: int = 0) -> int:
+    return max(WEEK, 4 * (back + ahead))
+
+
+def segment_of(time: Column, width: int) -> Column:
     number = F.floor((time - F.lit(ORIGIN)) / F.lit(width)).cast("long")
     return F.coalesce(number, F.lit(UNDATED))
 
@@ -52,10 +56,10 @@ def segmented(
     back: int = 0,
     ahead: int = 0,
     carry: Sequence[Sequence[str]] = (),
-    width: int = WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """``df`` with its segment number, whether a row is the segment's own, and context rows."""
-    width = max(width, back, ahead)
+    width = max(width or segment_width(back, ahead), back, ahead)
     at = F.col(time)
     rows = df.withColumn(
         SEGMENT,

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from wardline.operators.segments import WIDTH, own_rows, segment_window, segmented
+from wardline.operators.segments import own_rows, segment_window, segmented
 
 
 class Trailing(NamedTuple):
@@ -24,7 +24,7 @@ class Trailing(NamedTuple):
 
 
 def trailing(
-    df: DataFrame, key: str, time: str, measures: dict[str, Trailing], *, width: int = WIDTH
+    df: DataFrame, key: str, time: str, measures: dict[str, Trailing], *, width: int | None = None
 ) -> DataFrame:
     """Add trailing aggregates to a series with one row per (key, minute).
 
@@ -49,7 +49,7 @@ def gap(time: str, window: WindowSpec, *, present: Column, first: int) -> Column
 
 
 def observed_gap(
-    df: DataFrame, key: str, time: str, *, name: str, first: int, width: int = WIDTH
+    df: DataFrame, key: str, time: str, *, name: str, first: int, width: int | None = None
 ) -> DataFrame:
     """Add the gap to the previous row for a series with one row per (key, minute)."""
     marked = df.withColumn("_present", F.lit(True))

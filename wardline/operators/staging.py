@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators.segments import WIDTH, own_rows, segment_window, segmented
+from wardline.operators.segments import own_rows, segment_window, segmented
 
 
 def near_event(
-    df: DataFrame, key: str, time: str, *, flag: Column, minutes: int, name: str, width: int = WIDTH
+    df: DataFrame, key: str, time: str, *, flag: Column, minutes: int, name: str, width: int | None = None
 ) -> DataFrame:
     """Add whether a row with ``flag`` lies within ``minutes`` on either side.
 
