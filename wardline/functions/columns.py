@@ -56,7 +56,8 @@ def text_rule(
 
     A path is included if it is listed in ``exactly``, if it begins with ``starts``
     and its lower-cased form holds none of the ``without`` substrings, or if it
-    matches one of the ``like`` patterns. A NULL path is not included.
+    matches one of the ``like`` patterns. NULL for a NULL path, so a filter drops it; as
+    a filter the prefix also reaches the file scan.
     """
     value = F.col(path)
     rule = value.isin(list(exactly))
@@ -67,4 +68,4 @@ def text_rule(
         rule = rule | guarded
     for pattern in like:
         rule = rule | value.like(pattern)
-    return F.coalesce(value.startswith(prefix) & rule, F.lit(False))
+    return value.startswith(prefix) & rule
