@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import wardline as wl
+from wardline.__main__ import run
 from wardline.operators.labels import label_events
+from wardline.schemas import DERIVED, SOURCES
 from wardline.sources.tables import kept, read_sources, shared_folder, write_table
 from workbench.adapters import sources
 from workbench.queries import QUERIES
@@ -137,6 +139,20 @@ def test_sources_and_stored_tables(spark, frame, tmp_path):
     )
 
 
+def test_tables_are_derived_from_files_to_files(spark, tmp_path):
+    names = sorted(SOURCES)
+    for name, df in sources(spark, SF_DIR, *names).items():
+        write_table(df, f"{tmp_path}/in/{name}.parquet")
+    run(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    for name, key in (("kdigo_stages", "q7_kdigo_stages"), ("mcs_events", "q1_mcs_events")):
+        written = spark.read.parquet(f"{tmp_path}/out/{name}.parquet")
+        assert written.dtypes == [(f.name, f.dataType.simpleString()) for f in DERIVED[name]]
+        wanted = QUERIES[key](spark, SF_DIR).select(*written.columns)
+        assert written.exceptAll(wanted).isEmpty()
+        assert wanted.exceptAll(written).isEmpty()
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {f"{n}.parquet" for n in DERIVED}
+
+
 def test_ordered_results(spark):
     df = wl.kdigo_creatinine(**sources(spark, SF_DIR, "patient", "lab"), ordered=True)
     keys = [(r.patientunitstayid, r.labresultoffset) for r in df.collect()]

@@ -34,11 +34,16 @@ def kdigo_uo(
     so the 6, 12 and 24 hour limits are met exactly.
 
     Urine rows and weight intervals are merged in time order, so one shuffle and one
-    sort serve the gaps, the trailing sums and the interval lookup.
+    sort serve the gaps, the trailing sums and the interval lookup. ``urine_output`` has
+    one row per stay and offset and the intervals of a stay do not overlap, as the plans
+    that make them see to.
     """
     time = "chartoffset"
     urine = urine_output.join(patient.select(STAY), STAY, "left_semi").select(
-        STAY, time, (exact(F.col("urineoutput")) * UNITS).cast("long").alias("volume")
+        STAY,
+        time,
+        (exact(F.col("urineoutput")) * UNITS).cast("long").alias("volume"),
+        F.lit(True).alias("_urine"),
     )
     weights = live_intervals(weight_durations, "startoffset", "endoffset").select(
         STAY,
@@ -53,11 +58,11 @@ def kdigo_uo(
         STAY,
         time,
         back=HOURS[-1] * 60,
-        carry=[["volume"], ["_start", "_end", "_weight"]],
+        carry=[["_urine"], ["_start", "_end", "_weight"]],
         width=width,
     )
     window = segment_window(STAY, time)
-    is_urine = F.col("volume").isNotNull()
+    is_urine = F.coalesce("_urine", F.lit(False))
     interval = F.when(F.col("_start").isNotNull(), F.struct("_start", "_end", "_weight"))
     rows = rows.withColumn("_interval", interval).withColumns(
         {

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import wardline as wl
 from wardline.functions.columns import (
     event_time,
     exact,
@@ -21,9 +20,9 @@ from wardline.operators.intervals import interval_lookup, validity_intervals
 from wardline.operators.labels import label_events
 from wardline.operators.series import Trailing, observed_gap, trailing
 from wardline.operators.staging import align_series, near_event
+from wardline.plans.derive import derive, source_names
 from wardline.plans.stages import creatinine_stage
 from wardline.plans.weight_durations import admit_offset
-from wardline.sources.tables import kept
 from workbench.adapters import events, sources, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,60 +30,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- The seven plans --------------------------------------------------------------------
 
 
-WEIGHT_TABLES = ("patient", "infusiondrug", "physicalexam", "intakeoutput")
-DIALYSIS_TABLES = (
-    "treatment",
-    "nurseassessment",
-    "intakeoutput",
-    "diagnosis",
-    "pasthistory",
-    "admissiondx",
-)
-
-
-def mcs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = ("treatment", "nursecharting", "nurseassessment", "diagnosis")
-    return wl.mcs_events(**sources(spark, sf_dir, *tables))
-
-
-def dialysis_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wl.dialysis_events(**sources(spark, sf_dir, *DIALYSIS_TABLES))
-
-
-def urine_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wl.urine_output(**sources(spark, sf_dir, "intakeoutput"))
-
+def _derived(name: str, **options: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return derive(name, sources(spark, sf_dir, *sorted(source_names(name))), **options)
 
-def weight_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wl.weight_durations(**sources(spark, sf_dir, *WEIGHT_TABLES))
-
-
-def kdigo_creatinine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wl.kdigo_creatinine(**sources(spark, sf_dir, "patient", "lab"))
-
-
-def kdigo_uo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wl.kdigo_uo(
-        kept(urine_output(spark, sf_dir), "urine_output"),
-        sources(spark, sf_dir, "patient")["patient"],
-        kept(weight_durations(spark, sf_dir), "weight_durations"),
-    )
-
-
-def kdigo_stages(
-    spark: SparkSession, sf_dir: str, *, normalize_labels: bool = False
-) -> DataFrame:
-    return wl.kdigo_stages(
-        sources(spark, sf_dir, "patient")["patient"],
-        kept(kdigo_creatinine(spark, sf_dir), "kdigo_creatinine"),
-        kept(kdigo_uo(spark, sf_dir), "kdigo_uo"),
-        kept(dialysis_events(spark, sf_dir), "dialysis_events"),
-        normalize_labels=normalize_labels,
-    )
+    return query
 
 
-def kdigo_stages_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kdigo_stages(spark, sf_dir, normalize_labels=True)
+mcs_events = _derived("mcs_events")
+dialysis_events = _derived("dialysis_events")
+urine_output = _derived("urine_output")
+weight_durations = _derived("weight_durations")
+kdigo_creatinine = _derived("kdigo_creatinine")
+kdigo_uo = _derived("kdigo_uo")
+kdigo_stages = _derived("kdigo_stages")
+kdigo_stages_normalized = _derived("kdigo_stages", normalize_labels=True)
 
 
 # --- Single operators -------------------------------------------------------------------
