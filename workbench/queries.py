@@ -23,6 +23,7 @@ from wardline.operators.staging import align_series, near_event
 from wardline.plans.derive import derive, source_names
 from wardline.plans.stages import creatinine_stage
 from wardline.plans.weight_durations import admit_offset
+from wardline.sources.tables import kept
 from workbench.adapters import events, sources, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,7 @@ def _signup_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("sid").alias("patientunitstayid"), "off")
         .agg(F.max("v").alias("v"))
     )
+    starts = kept(starts, "signups")  # read for the rows and for the ends of segments
     patient = sources(spark, sf_dir, "patient")["patient"]
     bounds = patient.select(
         "patientunitstayid", admit_offset(patient).alias("admit"), "unitdischargeoffset"
@@ -144,8 +146,8 @@ def interval_lookup_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count("*").alias("clicks"))
     )
     return interval_lookup(
-        clicks,
-        _signup_intervals(spark, sf_dir),
+        kept(clicks, "clicks"),
+        kept(_signup_intervals(spark, sf_dir), "signup_intervals"),
         "user_id",
         "off",
         start="startoffset",
@@ -156,21 +158,27 @@ def interval_lookup_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_event_or_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks within 12 hours of an error, and all clicks of users who never signed up."""
+    ev = events(spark, sf_dir).withColumnRenamed("sid", "user_id")
     per_minute = (
-        events(spark, sf_dir)
-        .groupBy(F.col("sid").alias("user_id"), "off")
+        ev.filter(F.col("et").isin("click", "error"))
+        .groupBy("user_id", "off")
         .agg(
             F.count_if(F.col("et") == "click").alias("clicks"),
             F.count_if(F.col("et") == "error").alias("errors"),
-            F.count_if(F.col("et") == "signup").alias("signups"),
         )
     )
-    signed_up = per_minute.groupBy("user_id").agg((F.sum("signups") > 0).alias("_signed_up"))
+    signed_up = (
+        ev.filter(F.col("et") == "signup")
+        .select("user_id", F.lit(True).alias("_signed_up"))
+        .distinct()
+    )
     near = near_event(
         per_minute, "user_id", "off", flag=F.col("errors") > 0, minutes=720, name="_near"
     ).filter("clicks > 0")
-    return near.join(signed_up, "user_id", "left").filter("_near OR NOT _signed_up").select(
-        "user_id", "off", "clicks"
+    return (
+        near.join(signed_up, "user_id", "left")
+        .filter("_near OR _signed_up IS NULL")
+        .select("user_id", "off", "clicks")
     )
 
 
