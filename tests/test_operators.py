@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import values
+from wardline import vocab
 from wardline.operators.intervals import interval_lookup, validity_intervals
 from wardline.operators.labels import label_events
 from wardline.operators.segments import own_rows, segmented
@@ -182,3 +183,15 @@ def test_labels(spark):
     df = spark.createDataFrame([("a",), ("A",), ("b",), ("c ",), (None,), ("d",)], "s string")
     out = label_events(df, "s", [("a", "x"), ("a", "y"), ("b", None), ("c", "z")], "label")
     assert values(out, "s", "label") == [("a", "x"), ("a", "y"), ("b", None)]
+
+
+def test_labels_equal_a_case_expression(spark):
+    strings = [v for v, _ in vocab.DIALYSIS_TREATMENT] + ["renal|dialysis", "renal|dialysis|sled", None]
+    df = spark.createDataFrame([(s,) for s in strings * 3], "s string")
+    chain = F.lit(None)
+    for value, label in vocab.DIALYSIS_TREATMENT:
+        chain = F.when(F.col("s") == value, label).otherwise(chain)
+    plain = df.select("s", chain.alias("label")).filter("label IS NOT NULL")
+    ours = label_events(df, "s", vocab.DIALYSIS_TREATMENT, "label")
+    assert values(ours, "s", "label") == values(plain, "s", "label")
+    assert len(values(ours, "s")) == 31 * 3

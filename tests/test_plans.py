@@ -126,6 +126,27 @@ def test_results_do_not_depend_on_partitions_or_join_strategy(spark):
             spark.conf.set(k, v)
 
 
+def test_sources_are_brought_to_their_types(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "70.5", "12.25", "x"), (2, "unknown", None, "y")],
+        "patientUnitStayID int, admissionWeight string, dischargeWeight string, other string",
+    ).selectExpr(
+        "*",
+        "10L AS patienthealthsystemstayid",
+        "'p' AS uniquePID",
+        "CAST(3 AS SMALLINT) AS unitdischargeoffset",
+    )
+    write_table(df, f"{tmp_path}/patient.parquet")
+    got = read_sources(spark, str(tmp_path), ["patient"])["patient"]
+    assert [(f.name, f.dataType) for f in got.schema] == [
+        (f.name, f.dataType) for f in SOURCES["patient"]
+    ]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, 10, "p", None, 3, 70.5, 12.25),
+        (2, 10, "p", None, 3, None, None),
+    ]
+
+
 def test_sources_and_stored_tables(spark, frame, tmp_path):
     rows = frame("lab", dict(patientunitstayid=1, labname="x", labresult=2.5))
     write_table(rows, f"{tmp_path}/lab.parquet")

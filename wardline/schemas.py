@@ -79,6 +79,9 @@ SOURCES: dict[str, T.StructType] = {
     ),
 }
 
+#: Source columns that may be missing.
+OPTIONAL = {"unitadmitoffset"}
+
 DERIVED: dict[str, T.StructType] = {
     "mcs_events": _table(
         patientunitstayid=_LONG, mechanical_support_type=_STRING, chartoffset=_LONG

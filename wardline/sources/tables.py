@@ -7,13 +7,32 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.schemas import SOURCES
+from wardline.schemas import OPTIONAL, SOURCES
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """The declared columns of a source table, in their declared types and lower case.
+
+    Other columns are dropped, so they are not read. A column that has its type already
+    is left as it is and filters on it still reach the scan; text that is no number
+    becomes NULL. A missing unit admission offset is read as NULL.
+    """
+    present = {c.lower() for c in df.columns}
+    return df.select(
+        *(
+            F.col(f.name).try_cast(f.dataType).alias(f.name)
+            if f.name in present or f.name not in OPTIONAL
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in SOURCES[name]
+        )
+    )
 
 
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A source table from ``<root>/<name>.parquet`` with its declared schema."""
-    return spark.read.schema(SOURCES[name]).parquet(f"{root}/{name}.parquet")
+    """A source table from ``<root>/<name>.parquet``."""
+    return conform(spark.read.parquet(f"{root}/{name}.parquet"), name)
 
 
 def read_sources(
@@ -42,8 +61,9 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Store a derived table that several later steps read.
 
     The later steps then start from files on shared storage: they are computed once, a
-    lost executor costs no more than the step at hand, and plans stay small. Where no
-    shared folder is named the table is left to be computed as part of its consumers.
+    lost executor costs no more than the step at hand, and plans stay small. Stored
+    tables stay in the folder, as checkpoints do. Where no shared folder is named the
+    table is left to be computed as part of its consumers.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:

@@ -398,9 +398,9 @@ ORACLE: dict[str, str] = {
     "coalesce_offsets_distinct": _query(
         """SELECT user_id, ifnull(documented, entered) AS hour
            FROM (SELECT sid AS user_id,
-                        CASE WHEN k % 4 <> 0 THEN CAST(floor(off / 60) AS BIGINT) END AS documented,
+                        CASE WHEN et <> 'error' THEN CAST(floor(off / 60) AS BIGINT) END AS documented,
                         CAST(floor((off + k) / 60) AS BIGINT) AS entered
-                 FROM ev WHERE k % 5 <> 0 AND k <> 1
+                 FROM ev WHERE et <> 'signup' AND k <> 0
                  GROUP BY ALL)""",
         EVENTS_SQL,
     ),

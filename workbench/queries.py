@@ -244,16 +244,19 @@ def unit_convert_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coalesce_offsets_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct pairs of offsets first, one offset chosen after, so offsets may repeat."""
+    """Distinct pairs of offsets first, one offset chosen after, so offsets may repeat.
+
+    Only rows with an amount other than zero count; signups have none.
+    """
     off, k = F.col("off"), F.col("k")
     pairs = events(spark, sf_dir).select(
         F.col("sid").alias("user_id"),
-        F.when(k % 4 != 0, F.floor(off / 60)).alias("documented"),
+        F.when(F.col("et") != "error", F.floor(off / 60)).alias("documented"),
         F.floor((off + k) / 60).alias("entered"),
-        F.when(k % 5 != 0, k).alias("amount"),
+        F.when(F.col("et") != "signup", k).alias("amount"),
     )
     return (
-        pairs.filter(F.col("amount") != 1)
+        pairs.filter(F.col("amount") != 0)
         .select("user_id", "documented", "entered")
         .distinct()
         .select("user_id", event_time("documented", "entered").alias("hour"))
