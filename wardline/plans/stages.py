@@ -18,14 +18,16 @@ _TIME = "chartoffset"
 
 def creatinine_stage(creat: Column, low_7day: Column, low_48hr: Column) -> Column:
     """NULL without a baseline from the last seven days."""
+    severe = (creat >= low_7day * 3.0) | (
+        (creat >= 4) & ((low_48hr <= 3.7) | (creat >= low_7day * 1.5))
+    )
+    mild = (creat >= low_48hr + 0.3) | (creat >= low_7day * 1.5)
     return stage_cascade(
         [
             (creat.isNull() | low_7day.isNull(), None),
-            (creat >= low_7day * 3.0, 3),
-            ((creat >= 4) & ((low_48hr <= 3.7) | (creat >= low_7day * 1.5)), 3),
+            (severe, 3),
             (creat >= low_7day * 2.0, 2),
-            (creat >= low_48hr + 0.3, 1),
-            (creat >= low_7day * 1.5, 1),
+            (mild, 1),
         ],
         otherwise=0,
     )
@@ -33,14 +35,18 @@ def creatinine_stage(creat: Column, low_7day: Column, low_48hr: Column) -> Colum
 
 def urine_stage(offset: Column, rate: dict[int, Column], hours: dict[int, Column]) -> Column:
     """NULL without a six-hour rate, 0 in the first six hours of the stay."""
+
+    def under(limit: float, h: int) -> Column:
+        return (hours[h] >= h) & (rate[h] < limit)
+
+    none = (hours[12] >= 12) & (rate[12] == 0)
     return stage_cascade(
         [
             (rate[6].isNull(), None),
             (offset <= EARLY_MINUTES, 0),
-            ((hours[24] >= 24) & (rate[24] < 0.3), 3),
-            ((hours[12] >= 12) & (rate[12] == 0), 3),
-            ((hours[12] >= 12) & (rate[12] < 0.5), 2),
-            ((hours[6] >= 6) & (rate[6] < 0.5), 1),
+            (under(0.3, 24) | none, 3),
+            (under(0.5, 12), 2),
+            (under(0.5, 6), 1),
         ],
         otherwise=0,
     )
