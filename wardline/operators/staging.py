@@ -12,7 +12,14 @@ from wardline.operators.segments import own_rows, segment_window, segmented
 
 
 def near_event(
-    df: DataFrame, key: str, time: str, *, flag: Column, minutes: int, name: str, width: int | None = None
+    df: DataFrame,
+    key: str,
+    time: str,
+    *,
+    flag: Column,
+    minutes: int,
+    name: str,
+    width: int | None = None,
 ) -> DataFrame:
     """Add whether a row with ``flag`` lies within ``minutes`` on either side.
 
@@ -24,18 +31,30 @@ def near_event(
     return own_rows(rows.withColumn(name, near))
 
 
+def stack_series(keys: Sequence[str], series: Sequence[DataFrame]) -> DataFrame:
+    """All rows of several series under one another, each with its own columns filled.
+
+    Rows with a NULL in the keys are left out.
+    """
+    dated = [s.dropna(subset=list(keys)) for s in series]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dated)
+
+
+def merge_rows(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with the values that the stacked rows of that key hold."""
+    return stacked.groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in stacked.columns if c not in keys)
+    )
+
+
 def align_series(keys: Sequence[str], series: Sequence[DataFrame]) -> DataFrame:
     """One row per key that occurs in any of the series, with the columns of all.
 
     Each series has at most one row per key and columns of its own. A union and one
     aggregation replace a spine of distinct keys and a join per series, so every
-    series is read and shuffled once. Rows with a NULL in the keys are left out.
+    series is read and shuffled once.
     """
-    dated = [s.dropna(subset=list(keys)) for s in series]
-    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dated)
-    return wide.groupBy(*keys).agg(
-        *(F.max(c).alias(c) for c in wide.columns if c not in keys)
-    )
+    return merge_rows(stack_series(keys, series), keys)
 
 
 def stage_cascade(rules: Sequence[tuple[Column, int | None]], otherwise: int | None) -> Column:

@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import vocab
-from wardline.operators.series import Trailing, trailing
-from wardline.operators.staging import align_series, near_event, repeat_rows, stage_cascade
+from wardline.operators.segments import OWN, SEGMENT, own_rows, segment_window, segmented
+from wardline.operators.series import Trailing
+from wardline.operators.staging import (
+    merge_rows,
+    near_event,
+    repeat_rows,
+    stack_series,
+    stage_cascade,
+)
 from wardline.schemas import DERIVED, STAY
 
 NEAR_MINUTES = 720
@@ -77,7 +84,6 @@ def kdigo_stages(
         creatinine_stage(
             F.col("creat"), F.col("creat_low_past_7day"), F.col("creat_low_past_48hr")
         ).alias("aki_stage_creat"),
-        F.lit(True).alias("_charted"),
     )
     rates = {h: F.col(f"uo_rt_{h}hr") for h in (6, 12, 24)}
     hours = {h: F.col(f"uo_tm_{h}hr") for h in (6, 12, 24)}
@@ -86,60 +92,68 @@ def kdigo_stages(
         _TIME,
         *rates.values(),
         urine_stage(F.col(_TIME), rates, hours).alias("aki_stage_uo"),
-        F.lit(True).alias("_measured"),
     )
+    replacement = _replacement_events(dialysis_events, normalize_labels).withColumn(
+        "aki_stage_dialysis", F.lit(3)
+    )
+
+    # The series are brought together inside the segments that the smoothing works on:
+    # one shuffle for both. They hold one row per minute each, so there is little that
+    # combining before the shuffle could save.
+    stacked = stack_series([STAY, _TIME], [creatinine, urine, replacement])
+    segments = segmented(stacked, STAY, _TIME, back=SMOOTHING_MINUTES)
+    aligned = merge_rows(segments.repartition(STAY, SEGMENT), [STAY, SEGMENT, _TIME, OWN])
+    stages = ("aki_stage_creat", "aki_stage_uo", "aki_stage_dialysis")
+    highest = F.greatest(*(F.coalesce(c, F.lit(0)) for c in stages))
+    smoothed = Trailing(F.max("aki_stage"), SMOOTHING_MINUTES)
+    staged = own_rows(
+        aligned.withColumn("aki_stage", highest).withColumn(
+            "aki_stage_smoothed", smoothed.over(segment_window(STAY, _TIME))
+        )
+    )
+
+    stays = patient.select(STAY, "uniquepid", "patienthealthsystemstayid")
+    rows = staged.join(stays, STAY).select(
+        *DERIVED["kdigo_stages"].fieldNames(), F.coalesce("_events", F.lit(1)).alias("_copies")
+    )
+    result = repeat_rows(rows, "_copies", spread_by=[STAY, _TIME])
+    return result.orderBy(STAY, _TIME) if ordered else result
+
+
+def _replacement_events(dialysis_events: DataFrame, normalize_labels: bool) -> DataFrame:
+    """How many renal replacement events count at each offset, where any do.
+
+    Acute modalities always count, unknown ones in stays not on chronic dialysis, and
+    charted output in such stays or near an acute event. (In the other stays unknown
+    modalities never count, so output near one of them is covered either way.)
+    """
     dated = _dated_events(dialysis_events, normalize_labels)
     chronic = (
         dated.filter(F.col("kind").isin(_spelled(vocab.CHRONIC_TYPES, normalize_labels)))
-        .select(STAY, F.lit(True).alias("_chronic"))
+        .select(STAY)
         .distinct()
+        .withColumn("_chronic", F.lit(True))
     )
-    events = _events_per_offset(dated, normalize_labels)
-    replacement = near_event(
-        events, STAY, _TIME, flag=F.col("_acute") > 0, minutes=NEAR_MINUTES, name="_near"
-    ).select(
+    near = near_event(
+        _events_per_offset(dated, normalize_labels),
         STAY,
         _TIME,
-        # Counted in any stay: acute modalities, and output charted near one.
-        (F.col("_acute") + F.when(F.col("_near"), F.col("_output")).otherwise(0)).alias("_always"),
-        # Counted unless the stay is on chronic dialysis.
-        (F.col("_unknown") + F.when(F.col("_near"), 0).otherwise(F.col("_output"))).alias(
-            "_unless_chronic"
-        ),
+        flag=F.col("_acute") > 0,
+        minutes=NEAR_MINUTES,
+        name="_near",
     )
-
-    stays = patient.select(STAY, "uniquepid", "patienthealthsystemstayid").join(
-        chronic, STAY, "left"
-    )
-    aligned = align_series([STAY, _TIME], [creatinine, urine, replacement]).join(stays, STAY)
-    counted = F.coalesce("_always", F.lit(0)) + F.when(
-        F.coalesce("_chronic", F.lit(False)), 0
-    ).otherwise(F.coalesce("_unless_chronic", F.lit(0)))
-    rows = (
-        aligned.withColumn("_events", counted.cast("long"))
-        .filter("_charted OR _measured OR _events > 0")
-        .withColumn("aki_stage_dialysis", F.when(F.col("_events") > 0, 3))
-        .withColumn(
-            "aki_stage",
-            F.greatest(
-                *(
-                    F.coalesce(c, F.lit(0))
-                    for c in ("aki_stage_creat", "aki_stage_uo", "aki_stage_dialysis")
-                )
-            ),
-        )
-        .drop("_charted", "_measured", "_always", "_unless_chronic", "_chronic")
+    none = F.lit(0).cast("long")
+    is_chronic = F.col("_chronic").isNotNull()
+    counted = (
+        F.col("_acute")
+        + F.when(is_chronic, none).otherwise(F.col("_unknown"))
+        + F.when(is_chronic & ~F.col("_near"), none).otherwise(F.col("_output"))
     )
-    smoothed = trailing(
-        rows,
-        STAY,
-        _TIME,
-        {"aki_stage_smoothed": Trailing(F.max("aki_stage"), SMOOTHING_MINUTES)},
+    return (
+        near.join(chronic, STAY, "left")
+        .select(STAY, _TIME, counted.alias("_events"))
+        .filter(F.col("_events") > 0)
     )
-    columns = DERIVED["kdigo_stages"].fieldNames()
-    copies = F.greatest(F.col("_events"), F.lit(1).cast("long")).alias("_copies")
-    result = repeat_rows(smoothed.select(*columns, copies), "_copies", spread_by=[STAY, _TIME])
-    return result.orderBy(STAY, _TIME) if ordered else result
 
 
 def _dated_events(dialysis_events: DataFrame, normalize_labels: bool) -> DataFrame:

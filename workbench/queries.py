@@ -169,8 +169,9 @@ def near_event_or_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     signed_up = (
         ev.filter(F.col("et") == "signup")
-        .select("user_id", F.lit(True).alias("_signed_up"))
+        .select("user_id")
         .distinct()
+        .withColumn("_signed_up", F.lit(True))
     )
     near = near_event(
         per_minute, "user_id", "off", flag=F.col("errors") > 0, minutes=720, name="_near"
