@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 import wardline as wl
 from wardline.__main__ import run
 from wardline.operators.labels import label_events
-from wardline.schemas import DERIVED, SOURCES
+from wardline.schemas import DERIVED, SOURCES, STAY
 from wardline.sources.tables import kept, read_sources, shared_folder, write_table
+from workbench import alternatives as alt
 from workbench.adapters import sources
 from workbench.queries import QUERIES
 
@@ -126,6 +127,31 @@ def test_results_do_not_depend_on_partitions_or_join_strategy(spark):
             spark.conf.set(k, v)
 
 
+def test_alternatives_give_the_same_rows(spark):
+    series = QUERIES["q5_kdigo_creatinine"](spark, SF_DIR).select(STAY, alt.TIME, "creat")
+    points = QUERIES["q3_urine_output"](spark, SF_DIR)
+    intervals = kept(QUERIES["q4_weight_durations"](spark, SF_DIR), "intervals")
+    for forms, args in (
+        ((alt.lows_by_segment, alt.lows_by_key, alt.lows_by_self_join), (series,)),
+        ((alt.weights_by_merge, alt.weights_by_join), (points, intervals)),
+    ):
+        first, *others = (form(*args) for form in forms)
+        for other in others:
+            assert first.exceptAll(other.select(*first.columns)).isEmpty()
+            assert other.select(*first.columns).exceptAll(first).isEmpty()
+
+
+@pytest.mark.parametrize("width", [1440, 10**9])
+def test_urine_rates_do_not_depend_on_the_segments(spark, width):
+    patient = sources(spark, SF_DIR, "patient")["patient"]
+    urine = QUERIES["q3_urine_output"](spark, SF_DIR)
+    weights = kept(QUERIES["q4_weight_durations"](spark, SF_DIR), "weights")
+    usual = wl.kdigo_uo(urine, patient, weights)
+    other = wl.kdigo_uo(urine, patient, weights, width=width)
+    assert usual.exceptAll(other).isEmpty()
+    assert other.exceptAll(usual).isEmpty()
+
+
 def test_sources_are_brought_to_their_types(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, "70.5", "12.25", "x"), (2, "unknown", None, "y")],

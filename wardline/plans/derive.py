@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -63,10 +62,8 @@ def derive(
     ``sources`` may already hold some of those; they are then taken from there.
     """
     plan, inputs = PLANS[name]
-
-    def table(n: str) -> DataFrame:
-        return sources[n] if n in sources else store(derive(n, sources, store=store), n)
-
-    # Tables that do not depend on each other are made side by side.
-    with ThreadPoolExecutor(len(inputs)) as pool:
-        return plan(**dict(zip(inputs, pool.map(table, inputs))), **options)
+    tables = {
+        n: sources[n] if n in sources else store(derive(n, sources, store=store), n)
+        for n in inputs
+    }
+    return plan(**tables, **options)
