@@ -61,10 +61,12 @@ def segmented(
     """``df`` with its segment number, whether a row is the segment's own, and context rows."""
     width = max(width or segment_width(back, ahead), back, ahead)
     at = F.col(time)
+    here = segment_of(at, width)
+    first = segment_of(at - ahead, width) if ahead else here
+    last = segment_of(at + back, width) if back else here
     rows = df.withColumn(
-        SEGMENT,
-        F.explode(F.sequence(segment_of(at - ahead, width), segment_of(at + back, width))),
-    ).withColumn(OWN, F.col(SEGMENT) == segment_of(at, width))
+        SEGMENT, F.explode(F.sequence(first, last)) if back or ahead else here
+    ).withColumn(OWN, F.col(SEGMENT) == here)
     if carry:
         rows = rows.unionByName(
             _carried(df, key, time, back, carry, width), allowMissingColumns=True

@@ -39,7 +39,7 @@ def kdigo_uo(
     that make them see to.
     """
     time = "chartoffset"
-    urine = urine_output.join(patient.select(STAY), STAY, "left_semi").select(
+    urine = urine_output.select(
         STAY,
         time,
         (exact(F.col("urineoutput")) * UNITS).cast("long").alias("volume"),
@@ -104,5 +104,5 @@ def kdigo_uo(
         *(volume(h).alias(f"urineoutput_{h}hr") for h in HOURS),
         *(rate(h).alias(f"uo_rt_{h}hr") for h in HOURS),
         *(hours(h).alias(f"uo_tm_{h}hr") for h in HOURS),
-    )
+    ).join(patient.select(STAY), STAY, "left_semi")
     return result.orderBy(STAY, F.col(time).asc_nulls_last()) if ordered else result
