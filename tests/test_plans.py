@@ -201,6 +201,15 @@ def test_tables_are_derived_from_files_to_files(spark, tmp_path):
 
 
 def test_ordered_results(spark):
-    df = wl.kdigo_creatinine(**sources(spark, SF_DIR, "patient", "lab"), ordered=True)
-    keys = [(r.patientunitstayid, r.labresultoffset) for r in df.collect()]
-    assert keys == sorted(keys)
+    tables = sources(spark, SF_DIR, *SOURCES)
+    times = {
+        "urine_output": "chartoffset",
+        "weight_durations": "startoffset",
+        "kdigo_creatinine": "labresultoffset",
+        "kdigo_uo": "chartoffset",
+        "kdigo_stages": "chartoffset",
+    }
+    for name, time in times.items():
+        rows = wl.derive(name, tables, ordered=True).select(STAY, time).collect()
+        keys = [(r[0], r[1] is None, r[1] or 0) for r in rows]
+        assert keys and keys == sorted(keys), name

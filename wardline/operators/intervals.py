@@ -54,7 +54,10 @@ def validity_intervals(
             F.lead("_head").over(by_segment).alias("_next_head"),
             F.lag("_head").over(by_segment).isNull().alias("_opens_key"),
         )
-        .join(bounds.select(key, F.col(opening).alias("_open"), F.col(closing).alias("_close")), key)
+        .join(
+            bounds.select(key, F.col(opening).alias("_open"), F.col(closing).alias("_close")),
+            key,
+        )
     )
     chained = rows.withColumn("_next", F.lead(time).over(segment_window(key, time))).join(
         edges, [key, SEGMENT]

@@ -28,4 +28,8 @@ def urine_output(intakeoutput: DataFrame, *, ordered: bool = False) -> DataFrame
         .groupBy(STAY, F.col("intakeoutputoffset").alias("chartoffset"))
         .agg(exact_sum(F.col("cellvaluenumeric")).cast("double").alias("urineoutput"))
     )
-    return result.orderBy(STAY, "chartoffset") if ordered else result
+    if ordered:
+        result = result.orderBy(
+            F.col(STAY).asc_nulls_last(), F.col("chartoffset").asc_nulls_last()
+        )
+    return result

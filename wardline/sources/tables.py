@@ -49,12 +49,13 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder the cluster names for checkpoints; a temporary one only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None and context.master.startswith("local"):
+    if context.getCheckpointDir() is None and context.master.startswith("local"):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
-        folder = context.getCheckpointDir()
-    return folder
+    return context.getCheckpointDir()
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
