@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +73,18 @@ def test_weight_sources_are_read_once_but_for_admissions(spark):
     assert len(scans) == 4
 
 
+@pytest.mark.parametrize("broadcast_bytes", ["10485760", "-1"])
+def test_stored_weight_sources_are_read_once_but_for_admissions(spark, tmp_path, broadcast_bytes):
+    names = ("patient", "infusiondrug", "physicalexam", "intakeoutput")
+    for name, df in sources(spark, SF_DIR, *names).items():
+        write_table(df, f"{tmp_path}/{name}.parquet")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": broadcast_bytes}):
+        text = final_plan(wl.derive("weight_durations", read_sources(spark, str(tmp_path), names)))
+    scanned = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    for column, times in (("patientweight", 1), ("celllabel", 1), ("physicalexamtext", 2)):
+        assert sum(column in s for s in scanned) == times
+
+
 def test_only_needed_columns_and_prefixes_are_read(spark, tmp_path):
     assert "event_id" not in plan(QUERIES["q3_urine_output"](spark, SF_DIR))
     cells = sources(spark, SF_DIR, "intakeoutput")["intakeoutput"]
@@ -106,25 +119,51 @@ def test_lows_and_stages_are_consistent(spark):
     assert stages.filter("aki_stage IS NULL OR chartoffset IS NULL").isEmpty()
 
 
+@contextmanager
+def settings(spark, values: dict[str, str]):
+    before = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_results_do_not_depend_on_partitions_or_join_strategy(spark):
     query = QUERIES["q7_kdigo_stages"]
     usual = query(spark, SF_DIR)
-    settings = {
+    plain = {
         "spark.sql.shuffle.partitions": "37",
         "spark.sql.adaptive.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
+    with settings(spark, plain):
         other = query(spark, SF_DIR)
         assert "SortMergeJoin" in plan(other)
         assert usual.exceptAll(other).isEmpty()
         assert other.exceptAll(usual).isEmpty()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+
+
+def test_joins_with_unreduced_rows_are_split_where_a_key_is_hot(spark, tmp_path):
+    root = f"{tmp_path}/sf"
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7).cast("long")).otherwise(F.col("o_custkey"))
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").withColumn("o_custkey", hot)
+    # A partition is split between the files it was shuffled from.
+    write_table(orders.repartition(12), f"{root}/orders.parquet")
+    write_table(spark.read.parquet(f"{SF_DIR}/customer.parquet"), f"{root}/customer.parquet")
+    small = {
+        "spark.sql.files.openCostInBytes": "128MB",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    with settings(spark, small):
+        text = final_plan(QUERIES["semi_join"](spark, root))
+        assert "SortMergeJoin(skew=true)" in text
 
 
 def test_alternatives_give_the_same_rows(spark):

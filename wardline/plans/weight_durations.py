@@ -15,6 +15,7 @@ from wardline.schemas import STAY
 
 LOWEST, HIGHEST = 20, 1000
 MARGIN = 120
+SALTS = 16
 ADMIT, DAILY = "admit", "daily"
 
 
@@ -178,7 +179,7 @@ def _with_first_admit_moved(records: DataFrame, stays: DataFrame) -> DataFrame:
         )
         .unionByName(moved.select(STAY, "move.*", "weight_type", "weight"))
         # Stated here so that every consumer has the same plan and shares one shuffle.
-        .filter(F.col("startoffset").isNotNull())
+        .filter(F.col("startoffset").isNotNull() & F.col("weight").isNotNull())
         .groupBy(STAY, "startoffset", "weight_type", "weight")
         .agg(F.sum("copies").alias("copies"))
         .filter(F.col("copies") > 0)
@@ -186,18 +187,25 @@ def _with_first_admit_moved(records: DataFrame, stays: DataFrame) -> DataFrame:
 
 
 def _zero_length(counts: DataFrame, starts: DataFrame, stays: DataFrame) -> DataFrame:
-    """The tied weights that do not carry on: all at one start but one copy of the last."""
+    """The tied weights that do not carry on: all at one start but one copy of the last.
+
+    Many different weights may be charted at one start, so the join is salted by weight.
+    """
+    # Never NULL, so that no filter on it sets this branch's plan apart from the others'.
+    salt = F.coalesce(F.pmod(F.xxhash64("weight"), F.lit(SALTS)).cast("int"), F.lit(0))
     tied = starts.filter(F.col("tied") > 1).select(
         STAY,
         "startoffset",
         F.col("weight").alias("_weight"),
         F.col("weight_type").alias("_weight_type"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
     )
     carries_on = (F.col("weight") == F.col("_weight")) & (
         F.col("weight_type") == F.col("_weight_type")
     )
     rest = (
-        counts.join(tied, [STAY, "startoffset"])
+        counts.withColumn("_salt", salt)
+        .join(tied, [STAY, "startoffset", "_salt"])
         .withColumn("copies", F.col("copies") - carries_on.cast("long"))
         .join(stays, STAY, "left_semi")
         .select(
