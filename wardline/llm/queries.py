@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import exact_dedup, language, packing, sharding
+from wardline.llm import exact_dedup, language, packing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +29,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_quality": op10_quality,
 }
