@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import exact_dedup, language, packing, quality, sharding
+from wardline.llm import exact_dedup, language, packing, quality, sharding, toxicity, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +45,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
+    "op7_pieces": op7_pieces,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
