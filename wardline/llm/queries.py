@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import exact_dedup, language, packing, quality, sharding, toxicity, unigram
+from wardline.llm import exact_dedup, language, lattice_lm, packing, quality, sharding, toxicity, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice_lm": op1_lattice_lm,
     "op2_language": op2_language,
     "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
