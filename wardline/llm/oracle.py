@@ -55,4 +55,23 @@ ORACLE: dict[str, str] = {
         FROM (FROM sums WHERE of = 'text') x JOIN (FROM sums WHERE of = 'id') i USING (doc_id)
         JOIN shards_of USING (doc_id)
     """,
+    "op5_embedding_dedup": """
+        WITH RECURSIVE
+        v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+              AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+        ),
+        reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, b) AS component_id,
+               vec_id = least(vec_id, b) AS kept
+        FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
+    """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import exact_dedup, language, lattice_lm, packing, quality, sharding, toxicity, unigram
+from wardline.llm import embedding_dedup, exact_dedup, language, lattice_lm, packing, quality, sharding, toxicity, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_lm": op1_lattice_lm,
     "op2_language": op2_language,
     "op4_sharding": op4_sharding,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_packing": op6_packing,
     "op7_pieces": op7_pieces,
     "op8_exact_dedup": op8_exact_dedup,
