@@ -74,4 +74,30 @@ ORACLE: dict[str, str] = {
                vec_id = least(vec_id, b) AS kept
         FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
     """,
+    "op3_jaccard_join": """
+        WITH RECURSIVE
+        w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_have AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ),
+        link AS (
+            SELECT a, b FROM both_have JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * c >= 80 * (x.n + y.n - c)
+        ),
+        reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, b) AS component_id
+        FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = a
+    """,
 }

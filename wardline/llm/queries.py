@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import embedding_dedup, exact_dedup, language, lattice_lm, packing, quality, sharding, toxicity, unigram
+from wardline.llm import embedding_dedup, exact_dedup, jaccard_join, language, lattice_lm, packing, quality, sharding, toxicity, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_groups(table(spark, sf_dir, "documents")).drop("class_id")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_lm": op1_lattice_lm,
     "op2_language": op2_language,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_packing": op6_packing,
