@@ -323,3 +323,16 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         ["block", "step", "part"],
     ).select("group", "key", "label", "tokens")
     return links.unionByName(_compare(visiting.unionByName(resident), percent))
+
+
+def keep_one(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of `df` whose id is the smallest of their group, with all their columns.
+
+    Rows without an id stay, as nothing tells them apart; rows that repeat an id stay or go together.
+    """
+    groups = near_groups(df, id_col, text_col, words, percent)
+    gone = groups.where(~F.col(id_col).eqNullSafe(F.col("component_id")) & F.col(id_col).isNotNull())
+    gone = store(gone.select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
