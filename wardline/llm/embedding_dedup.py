@@ -19,6 +19,8 @@ COSINE = 0.95
 RECALL = 0.999
 #: Different vectors expected in a bucket, and the most that are compared in one go.
 BUCKET, BLOCK = 16, 1024
+#: Rows that are compared in one call, about.
+ROWS = 4096
 SEED = 7
 
 
@@ -109,44 +111,24 @@ def linked(
 
 
 def _compared(cosine: float):
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Buckets come one after the other, as rows are sorted by (table, code, i, j)."""
-        keys = ("table", "code", "i", "j")
-
-        def result(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            key = np.stack([rows.column(x).to_numpy() for x in keys], axis=1)
-            begin = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(key) else np.zeros(0, int)
-            classes, sizes, block = (rows.column(x).to_numpy() for x in ("class", "size", "block"))
-            units, codes = (rows.column(x).combine_chunks() for x in ("unit", "codes"))
-            found = []
-            for low, high in zip(begin.tolist(), [*begin[1:].tolist(), len(key)], strict=True):
-                if high - low > 1:
-                    u = units.slice(low, high - low).flatten().to_numpy().reshape(high - low, -1)
-                    c = codes.slice(low, high - low).flatten().to_numpy().reshape(high - low, -1)
-                    part = slice(low, high)
-                    pair = (int(key[low, 2]), int(key[low, 3]))
-                    found.append(
-                        linked(classes[part], sizes[part], u, c, block[part], int(key[low, 0]), pair, cosine)
-                    )
-            if found:
-                a, b, n = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "links"])
-
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows < 4 * BLOCK:
-                continue
-            table = pa.Table.from_batches(held)
-            key = np.stack([table.column(x).to_numpy() for x in keys], axis=1)
-            last = int(np.flatnonzero((key != key[-1]).any(axis=1)).max(initial=-1)) + 1
-            yield from result(table.slice(0, last))
-            held = table.slice(last).to_batches()
-            rows = table.num_rows - last
-        if held:
-            yield from result(pa.Table.from_batches(held))
+    """The buckets (or pairs of blocks) of one bin, one after the other."""
+    keys = ("table", "code", "i", "j")
+
+    def compared(rows: pa.Table) -> pa.Table:
+        key = np.stack([rows.column(x).to_numpy() for x in keys])
+        order = np.lexsort(key)
+        rows, key = rows.take(pa.array(order)).combine_chunks(), key[:, order]
+        begin = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
+        classes, sizes, block = (rows.column(x).to_numpy() for x in ("class", "size", "block"))
+        units, codes = (rows.column(x).chunk(0) for x in ("unit", "codes"))
+        found = [(np.zeros(0, np.int64),) * 3]
+        for low, high in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
+            if high - low > 1:
+                part = slice(low, high)
+                unit, code = (x.slice(low, high - low).flatten().to_numpy().reshape(high - low, -1) for x in (units, codes))
+                table, _, *pair = key[:, low].tolist()
+                found.append(linked(classes[part], sizes[part], unit, code, block[part], table, (pair[0], pair[1]), cosine))
+        return pa.table(dict(zip(("a", "b", "links"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
     return compared
 
@@ -178,7 +160,8 @@ def near_duplicates(
         ),
         "classes",
     )
-    bits, tables = plan(classes.count(), cosine, recall)
+    n_classes = classes.count()
+    bits, tables = plan(n_classes, cosine, recall)
     whole = rows.mapInArrow(_with_digest, f"id {kind}, digest binary, vector array<double>")
     one = whole.join(classes, (whole.digest == classes.digest) & whole.id.eqNullSafe(classes["first"]))
     one = one.select("class", "size", "vector").dropDuplicates(["class"])
@@ -194,8 +177,10 @@ def near_duplicates(
         "class", "table", "code", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     key = ["table", "code", "i", "j"]
-    compared = pairs.join(signed, "class").repartition(*key).sortWithinPartitions(*key)
-    links = store(compared.mapInArrow(_compared(cosine), "a long, b long, links long"), "links")
+    # small buckets are gone through many at a time
+    bins = max(n_classes * tables // ROWS, 1)
+    dealt = pairs.join(signed, "class").withColumn("bin", F.pmod(F.xxhash64(*key), F.lit(bins)))
+    links = store(dealt.groupBy("bin").applyInArrow(_compared(cosine), "a long, b long, links long"), "links")
     of_class = (
         classes.select("class", "digest", "first", "size")
         .join(links.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links")), "class", "left")

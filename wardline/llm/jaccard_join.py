@@ -16,8 +16,10 @@ from wardline.llm.shared import store
 from wardline.llm.signature_tree import joins
 
 WORDS, PERCENT = 5, 80
+#: In % of a set, the shared first shingles that a document must have to be looked at more closely.
+BEYOND = 10
 #: Shingles of the documents that one task compares at once, and documents of a block every task of it sees.
-TOGETHER, PIVOTS = 1_500_000, 8
+TOGETHER, PIVOTS = 64_000, 8
 #: Shingles a task looks through at once for those it has twice.
 CHUNK = 2_000_000
 
@@ -47,19 +49,16 @@ def key_of(tokens: np.ndarray, salt: int) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8, salt=bytes([salt])).digest(), "big", signed=True)
 
 
-def beyond(size: np.ndarray, percent: int) -> np.ndarray:
-    """Shingles that two alike sets are sure to share among their first ones, for the size of the smaller."""
-    return np.maximum(size * (100 - percent) // 200, 1)
-
-
-def first_ones(tokens: np.ndarray, percent: int) -> np.ndarray:
+def first_ones(tokens: np.ndarray, percent: int, beyond: int) -> np.ndarray:
     """The first shingles of a set, in the order of their hashes.
 
-    Alike sets of n and m shingles share at least percent % of the larger. All but the last
-    ceil(percent % n) - beyond(n) of each therefore hold beyond(min(n, m)) common ones.
+    Alike sets share at least `percent` % of the larger. Of two such sets, all but the last
+    ceil(percent % n) - b of each therefore hold b common ones. `beyond` gives b in % of n (at least 1,
+    at most all that must be shared: then these are all shingles).
     """
     n = len(tokens)
-    return tokens[: min(n - -(-n * percent // 100) + int(beyond(np.array(n), percent)), n)]
+    shared = -(-n * percent // 100)
+    return tokens[: n - shared + min(max(n * beyond // 100, 1), shared)]
 
 
 def _named(words: int, salt: int):
@@ -77,12 +76,11 @@ def _named(words: int, salt: int):
     return named
 
 
-def _first_shingles(sets: Iterator[tuple[int, np.ndarray]], percent: int) -> Iterator[pa.RecordBatch]:
+def _first_shingles(sets: Iterator[tuple[int, np.ndarray]], percent: int, beyond: int) -> Iterator[pa.RecordBatch]:
     """(kind, h, key, n) of one task.
 
     Kind 0: a shingle and the first set that has it here, with n = 1, or 0 if other sets have it
-    here too. Kind 1 (h = key): how many of a set's first shingles other sets have here. Kind 2: a
-    set and the first one here that has a shingle of its.
+    here too. Kind 1 (h = key): how many of a set's first shingles other sets have here.
     """
 
     def passed(keys: list[int], tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -94,13 +92,11 @@ def _first_shingles(sets: Iterator[tuple[int, np.ndarray]], percent: int) -> Ite
         size = np.diff(np.r_[begin, len(h)])
         several = np.repeat(size, size) > 1
         known, n = np.unique(owner[several], return_counts=True)
-        leader = np.repeat(owner[begin], size)
-        edges = np.unique(np.stack([owner, leader])[:, several & (owner != leader)], axis=1)
         columns = [
-            np.r_[np.zeros(len(begin), np.int32), np.ones(len(known), np.int32), np.full(edges.shape[1], 2, np.int32)],
-            np.r_[h[begin], known, edges[0]],
-            np.r_[owner[begin], known, edges[1]],
-            np.r_[(size == 1).astype(np.int64), n, np.zeros(edges.shape[1], np.int64)],
+            np.r_[np.zeros(len(begin), np.int32), np.ones(len(known), np.int32)],
+            np.r_[h[begin], known],
+            np.r_[owner[begin], known],
+            np.r_[(size == 1).astype(np.int64), n],
         ]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["kind", "h", "key", "n"])
 
@@ -108,7 +104,7 @@ def _first_shingles(sets: Iterator[tuple[int, np.ndarray]], percent: int) -> Ite
     total = 0
     for key, tokens in sets:
         if key not in held:
-            held[key] = first_ones(tokens, percent)
+            held[key] = first_ones(tokens, percent, beyond)
             total += len(held[key])
         if total > CHUNK:
             yield passed(list(held), list(held.values()))
@@ -126,18 +122,18 @@ def _of_texts(words: int, percent: int, salt: int):
                     if len(tokens):
                         yield key_of(tokens, salt), tokens
 
-        yield from _first_shingles(sets(), percent)
+        yield from _first_shingles(sets(), percent, BEYOND)
 
     return found
 
 
-def _of_sets(percent: int):
+def _of_sets(percent: int, beyond: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sets() -> Iterator[tuple[int, np.ndarray]]:
             for batch in batches:
                 yield from zip(batch.column("key").to_pylist(), _tokens(batch.column("tokens")), strict=True)
 
-        yield from _first_shingles(sets(), percent)
+        yield from _first_shingles(sets(), percent, beyond)
 
     return found
 
@@ -150,22 +146,32 @@ def _tokens(column: pa.Array) -> Iterator[np.ndarray]:
         yield value.values.to_numpy().view(np.uint64)
 
 
-def _met(first: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _met(first: DataFrame, sizes: DataFrame, percent: int, beyond: int) -> DataFrame:
     """Keys of the sets that share enough first shingles with others to be alike to any."""
     same = Window.partitionBy("kind", "h")
-    shared = first.where("kind < 2").withColumn("several", F.min("key").over(same) != F.max("key").over(same))
+    shared = first.withColumn("several", F.min("key").over(same) != F.max("key").over(same))
     counts = shared.where("kind = 1 or several").groupBy("key").agg(F.sum("n").alias("n")).where("n > 0")
-    smaller = F.ceil(F.col("size") * percent / 100)
-    needed = F.greatest(F.floor(smaller * (100 - percent) / 200), F.lit(1))
+    # the number that first_ones is made for, for the smallest set that can be alike to this one
+    smallest = F.ceil(F.col("size") * percent / 100)
+    needed = F.least(F.floor(smallest * beyond / 100), F.ceil(smallest * percent / 100))
+    needed = F.when(F.lit(beyond) >= percent, smallest).otherwise(F.greatest(needed, F.lit(1)))
     return counts.join(sizes.select("key", "size"), "key").where(F.col("n") >= needed).select("key")
 
 
-def _edges(first: DataFrame) -> DataFrame:
-    """(a, b): sets with a common first shingle, each joined to the smallest key that has it."""
-    least = Window.partitionBy("h")
-    across = first.where("kind = 0").select(F.col("key").alias("a"), F.min("key").over(least).alias("b"))
-    within = first.where("kind = 2").select(F.col("h").alias("a"), F.col("key").alias("b"))
-    return across.where("a <> b").unionByName(within).distinct()
+def _edges(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets with a common first shingle, each joined to the smallest key that has it.
+
+    Here the order is by the number of sets that have a shingle, so that what very many share, such
+    as a passage, only counts for sets with hardly anything else. All but the last
+    ceil(percent % n) - 1 shingles of alike sets hold a common one.
+    """
+    rows = sets.select("key", F.size("tokens").alias("size"), F.explode("tokens").alias("h"))
+    rows = rows.join(rows.groupBy("h").agg(F.count("*").alias("n")), "h")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "h"))
+    first = rows.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
+    first = first.where("n > 1").select("key", "h")
+    least = first.groupBy("h").agg(F.min("key").alias("b"))
+    return first.join(least, "h").select(F.col("key").alias("a"), "b").where("a <> b").distinct()
 
 
 def _with_texts(docs: DataFrame, kept: DataFrame, words: int, salt: int) -> DataFrame:
@@ -190,34 +196,17 @@ def _with_texts(docs: DataFrame, kept: DataFrame, words: int, salt: int) -> Data
     return rows.mapInArrow(made, "key long, tokens array<long>").dropDuplicates(["key"])
 
 
-def _compared(percent: int):
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Links that join sets of unlike `label` in each group; groups come one after the other."""
-
-        def result(keys: list[int], labels: list[int], tokens: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            found = joins(tokens, np.unique(labels, return_inverse=True)[1], percent)
-            if found:
-                a, b = (np.array([keys[i] for i in x], np.int64) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        group, held = None, ([], [], [])
-        for batch in batches:
-            columns = [batch.column(x).to_pylist() for x in ("group", "key", "label")]
-            for at, key, label, tokens in zip(*columns, _tokens(batch.column("tokens")), strict=True):
-                if at != group:
-                    yield from result(*held)
-                    group, held = at, ([], [], [])
-                for some, x in zip(held, (key, label, tokens), strict=True):
-                    some.append(x)
-        yield from result(*held)
-
-    return compared
+def _compare(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of links that join sets of unlike `label` among the rows (group, key, label, tokens) of each group."""
 
+    def compared(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_numpy()
+        labels = np.unique(group.column("label").to_numpy(), return_inverse=True)[1]
+        tokens = [x for chunk in group.column("tokens").chunks for x in _tokens(chunk)]
+        found = np.array(joins(tokens, labels, percent), np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(keys[found[:, 0]]), "b": pa.array(keys[found[:, 1]])})
 
-def _compare(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the links found among the rows (group, key, label, tokens) of each group."""
-    dealt = rows.repartition("group").sortWithinPartitions("group")
-    return dealt.mapInArrow(_compared(percent), "a long, b long")
+    return rows.groupBy("group").applyInArrow(compared, "a long, b long")
 
 
 def near_groups(
@@ -233,9 +222,10 @@ def near_groups(
     not read.
 
     1. Equal sets are one class. 2. A set goes on if enough of its first shingles, by hash, are also
-    among the first of other sets; others cannot be alike to any. This is done twice, the second
-    time among the sets that went on alone. 3. Sets that go on and share a first shingle, at first
-    or second hand, are a block; alike sets always are in one. 4. Every block is compared by
+    among the first of other sets; others cannot be alike to any. Of the sets that go on, those stay
+    that have `percent` % of all their shingles in common with others, and this once more among
+    those that stay. 3. Sets that share one of their rarest shingles, at first or
+    second hand, are a block; alike sets always are in one. 4. Every block is compared by
     signature trees. A block of more than TOGETHER shingles is cut by size and hash into parts of
     about that many: first each part with a few pivots, sets that all parts of a block see, then
     all pairs of parts with sets that are not in the block's largest component yet. No step looks
@@ -257,11 +247,12 @@ def near_groups(
             break
         salt += 1
     first = docs.select("text").mapInArrow(_of_texts(words, percent, salt), FIRST)
-    met = classes.join(_met(first, classes, percent), "key").select("key", "first")
+    met = classes.join(_met(first, classes, percent, BEYOND), "key").select("key", "first")
     sets = store(_with_texts(docs, met, words, salt), "sets")
-    again = _met(sets.mapInArrow(_of_sets(percent), FIRST), classes, percent)
-    sets = store(sets.join(again, "key"), "sets")
-    blocks = components(_edges(sets.mapInArrow(_of_sets(percent), FIRST)))
+    for _ in range(2):
+        met = _met(sets.mapInArrow(_of_sets(percent, 100), FIRST), classes, percent, 100)
+        sets = store(sets.join(met, "key"), "sets")
+    blocks = components(_edges(sets, percent))
     sets = store(
         sets.join(blocks.withColumnRenamed("node", "key").withColumnRenamed("component", "block"), "key").select(
             "key", "block", F.size("tokens").alias("size"), "tokens"
@@ -299,7 +290,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("block", "step").orderBy(F.xxhash64("key"), "key"))
     pivots = rows.select("block", "step", "parts", "key").withColumn("place", place).where(F.col("place") <= PIVOTS)
     pivots = pivots.join(rows.select("key", "tokens", F.col("part").alias("own")), "key")
-    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> own")
+    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1))).where("part <> own")
     part = F.xxhash64("block", "step", "part").alias("group")
     seen = rows.select(part, "key", F.col("key").alias("label"), "tokens").unionByName(
         pivots.select(part, "key", F.col("key").alias("label"), "tokens")
