@@ -175,7 +175,7 @@ def test_align_series(spark):
 
 def test_repeat_rows(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, 10), (4, 11), (5, 25), (6, -3)], "k long, n long")
-    out = repeat_rows(df, "n", spread_by=["k"], block=10).groupBy("k").count()
+    out = repeat_rows(df, "n", block=10).groupBy("k").count()
     assert values(out, "k", "count") == [(2, 1), (3, 10), (4, 11), (5, 25)]
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 import re
 from contextlib import contextmanager
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 import wardline as wl
-from wardline.__main__ import run
+from wardline.__main__ import main, run
 from wardline.operators.labels import label_events
 from wardline.schemas import DERIVED, SOURCES, STAY
-from wardline.sources.tables import kept, read_sources, shared_folder, write_table
+from wardline.sources.tables import conform, read_sources, store_in, write_table
 from workbench import alternatives as alt
 from workbench.adapters import sources
 from workbench.queries import QUERIES
@@ -146,30 +147,10 @@ def test_results_do_not_depend_on_partitions_or_join_strategy(spark):
         assert other.exceptAll(usual).isEmpty()
 
 
-def test_joins_with_unreduced_rows_are_split_where_a_key_is_hot(spark, tmp_path):
-    root = f"{tmp_path}/sf"
-    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7).cast("long")).otherwise(F.col("o_custkey"))
-    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").withColumn("o_custkey", hot)
-    # A partition is split between the files it was shuffled from.
-    write_table(orders.repartition(12), f"{root}/orders.parquet")
-    write_table(spark.read.parquet(f"{SF_DIR}/customer.parquet"), f"{root}/customer.parquet")
-    small = {
-        "spark.sql.files.openCostInBytes": "128MB",
-        "spark.sql.shuffle.partitions": "16",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
-    }
-    with settings(spark, small):
-        text = final_plan(QUERIES["semi_join"](spark, root))
-        assert "SortMergeJoin(skew=true)" in text
-
-
-def test_alternatives_give_the_same_rows(spark):
+def test_alternatives_give_the_same_rows(spark, tmp_path):
     series = QUERIES["q5_kdigo_creatinine"](spark, SF_DIR).select(STAY, alt.TIME, "creat")
     points = QUERIES["q3_urine_output"](spark, SF_DIR)
-    intervals = kept(QUERIES["q4_weight_durations"](spark, SF_DIR), "intervals")
+    intervals = store_in(str(tmp_path))(QUERIES["q4_weight_durations"](spark, SF_DIR), "intervals")
     for forms, args in (
         ((alt.lows_by_segment, alt.lows_by_key, alt.lows_by_self_join), (series,)),
         ((alt.weights_by_merge, alt.weights_by_join), (points, intervals)),
@@ -181,10 +162,10 @@ def test_alternatives_give_the_same_rows(spark):
 
 
 @pytest.mark.parametrize("width", [1440, 10**9])
-def test_urine_rates_do_not_depend_on_the_segments(spark, width):
+def test_urine_rates_do_not_depend_on_the_segments(spark, tmp_path, width):
     patient = sources(spark, SF_DIR, "patient")["patient"]
     urine = QUERIES["q3_urine_output"](spark, SF_DIR)
-    weights = kept(QUERIES["q4_weight_durations"](spark, SF_DIR), "weights")
+    weights = store_in(str(tmp_path))(QUERIES["q4_weight_durations"](spark, SF_DIR), "weights")
     usual = wl.kdigo_uo(urine, patient, weights)
     other = wl.kdigo_uo(urine, patient, weights, width=width)
     assert usual.exceptAll(other).isEmpty()
@@ -193,7 +174,7 @@ def test_urine_rates_do_not_depend_on_the_segments(spark, width):
 
 def test_sources_are_brought_to_their_types(spark, tmp_path):
     df = spark.createDataFrame(
-        [(1, "70.5", "12.25", "x"), (2, "unknown", None, "y")],
+        [(1, "70.5", "12.25", "x"), (2, " 80 ", None, "y")],
         "patientUnitStayID int, admissionWeight string, dischargeWeight string, other string",
     ).selectExpr(
         "*",
@@ -208,7 +189,7 @@ def test_sources_are_brought_to_their_types(spark, tmp_path):
     ]
     assert sorted(tuple(r) for r in got.collect()) == [
         (1, 10, "p", None, 3, 70.5, 12.25),
-        (2, 10, "p", None, 3, None, None),
+        (2, 10, "p", None, 3, 80.0, None),
     ]
 
 
@@ -218,11 +199,75 @@ def test_sources_and_stored_tables(spark, frame, tmp_path):
     back = read_sources(spark, str(tmp_path), ["lab"])["lab"]
     assert back.schema == rows.schema
     assert back.collect() == rows.collect()
-    stored = kept(rows, "lab")
+    stored = store_in(f"{tmp_path}/kept/")(rows, "lab")
     assert stored.collect() == rows.collect()
-    assert stored.inputFiles()[0].replace("file://", "").startswith(
-        shared_folder(spark).replace("file:", "")
-    )
+    assert stored.inputFiles()[0].replace("file://", "").startswith(f"{tmp_path}/kept/lab-")
+    rows.createOrReplaceTempView("lab")
+    assert read_sources(spark, None, ["lab"])["lab"].collect() == rows.collect()
+    spark.catalog.dropTempView("lab")
+
+
+@pytest.mark.parametrize(
+    ("column", "kind", "value"),
+    [
+        ("labresultoffset", "double", 359.9),
+        ("labresultoffset", "double", -0.5),
+        ("labresultoffset", "string", "10 min"),
+        ("labresultoffset", "string", "359.9"),
+        ("labresultoffset", "decimal(20,0)", Decimal(2**63)),
+        ("patientunitstayid", "string", "a1"),
+        ("labresult", "string", "1,2"),
+    ],
+)
+def test_values_that_do_not_survive_their_type_are_errors(spark, column, kind, value):
+    row = {"patientunitstayid": 1, "labname": "x", "labresult": 1.0, "labresultoffset": 5}
+    kinds = {"patientunitstayid": "long", "labname": "string", "labresult": "double", "labresultoffset": "long"}
+    kinds[column] = kind
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
+    df = spark.createDataFrame([tuple((row | {column: value}).values()), tuple((row | {column: None}).values())], schema)
+    assert conform(df.filter(f"{column} IS NULL"), "lab").collect()[0][column] is None
+    with pytest.raises(Exception, match=f"{column} cannot be read as"):
+        conform(df, "lab").collect()
+
+
+def test_decimal_and_whole_numbers_are_kept(spark):
+    df = spark.createDataFrame([(1, "x", Decimal("1.10"), 360.0)], "patientunitstayid int, labname string, labresult decimal(6,2), labresultoffset double")
+    assert conform(df, "lab").collect()[0].asDict() == {
+        "patientunitstayid": 1, "labname": "x", "labresult": Decimal("1.10"), "labresultoffset": 360
+    }
+
+
+def test_only_tables_read_twice_are_stored(spark, tmp_path):
+    stored = []
+
+    def store(df, name):
+        stored.append(name)
+        return store_in(str(tmp_path))(df, name)
+
+    tables = sources(spark, SF_DIR, *SOURCES)
+    plain = wl.derive("kdigo_stages", tables)
+    again = wl.derive("kdigo_stages", tables, store=store)
+    assert sorted(stored) == ["dialysis_events", "urine_output", "weight_durations"]
+    assert plain.exceptAll(again).isEmpty() and again.exceptAll(plain).isEmpty()
+    with pytest.raises(ValueError, match="no table 'nothing'"):
+        wl.derive("nothing", tables)
+
+
+def test_stages_are_not_shuffled_after_their_last_join(spark, tmp_path):
+    tables = sources(spark, SF_DIR, *SOURCES)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = final_plan(wl.derive("kdigo_stages", tables, store=store_in(str(tmp_path))))
+        above = text[: text.index("SortMergeJoin")]
+        assert "Exchange" not in above and "Generate explode" in above
+        urine = wl.kdigo_uo(*(store_in(str(tmp_path))(wl.derive(n, tables), n) if n in ("urine_output", "weight_durations") else tables[n] for n in ("urine_output", "patient", "weight_durations")))
+        text = final_plan(urine)
+        assert "LeftSemi" not in text[: text.index("Window")]
+
+
+def test_command_line_names_unknown_tables(capsys):
+    with pytest.raises(SystemExit):
+        main(["in", "out", "nothing"])
+    assert "no table nothing" in capsys.readouterr().err
 
 
 def test_tables_are_derived_from_files_to_files(spark, tmp_path):

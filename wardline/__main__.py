@@ -1,14 +1,16 @@
 """Derive tables from Parquet to Parquet.
 
-    python -m wardline SOURCE_ROOT TARGET_ROOT [TABLE ...]
+    python -m wardline SOURCE_ROOT TARGET_ROOT [TABLE ...] [--normalize-labels] [--ordered]
 
-Sources are read from ``SOURCE_ROOT/<name>.parquet``; each table is written to
-``TARGET_ROOT/<name>.parquet`` and read from there by the tables made from it.
+Sources are read from ``SOURCE_ROOT/<name>.parquet``, or from the catalogue if SOURCE_ROOT is
+``-``; each table is written to ``TARGET_ROOT/<name>.parquet`` and read from there by the tables
+made from it.
 """
 
 from __future__ import annotations
 
-import sys
+import argparse
+from inspect import signature
 
 from pyspark.sql import SparkSession
 
@@ -16,14 +18,46 @@ from wardline.plans.derive import PLANS, derive, source_names
 from wardline.sources.tables import read_sources, write_table
 
 
-def run(spark: SparkSession, source_root: str, target_root: str, *names: str) -> None:
+def run(
+    spark: SparkSession,
+    source_root: str | None,
+    target_root: str,
+    *names: str,
+    normalize_labels: bool = False,
+    ordered: bool = False,
+) -> None:
     names = names or tuple(PLANS)
+    if unknown := sorted(set(names) - set(PLANS)):
+        raise ValueError(f"no table {', '.join(unknown)}; there are {', '.join(PLANS)}")
     needed = sorted(set().union(*(source_names(n) for n in names)))
     tables = read_sources(spark, source_root, needed)
     for name in PLANS:  # in the order of their dependencies
         if name in names:
-            tables[name] = write_table(derive(name, tables), f"{target_root}/{name}.parquet")
+            taken = signature(PLANS[name][0]).parameters
+            given = {"normalize_labels": normalize_labels, "ordered": ordered}
+            df = derive(name, tables, **{k: v for k, v in given.items() if k in taken})
+            tables[name] = write_table(df, f"{target_root}/{name}.parquet")
+
+
+def main(arguments: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="python -m wardline", description="Derive tables from Parquet to Parquet.")
+    parser.add_argument("source_root")
+    parser.add_argument("target_root")
+    parser.add_argument("tables", nargs="*", metavar="TABLE", help=f"of {', '.join(PLANS)}; all by default")
+    parser.add_argument("--normalize-labels", action="store_true", help="read blanks in dialysis types as underscores")
+    parser.add_argument("--ordered", action="store_true", help="sort rows by stay and time")
+    given = parser.parse_args(arguments)
+    if unknown := sorted(set(given.tables) - set(PLANS)):
+        parser.error(f"no table {', '.join(unknown)}; there are {', '.join(PLANS)}")
+    run(
+        SparkSession.builder.appName("wardline").getOrCreate(),
+        None if given.source_root == "-" else given.source_root,
+        given.target_root,
+        *given.tables,
+        normalize_labels=given.normalize_labels,
+        ordered=given.ordered,
+    )
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("wardline").getOrCreate(), *sys.argv[1:])
+    main()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,17 +15,37 @@ def event_time(documented: str, entered: str) -> Column:
     return F.coalesce(F.col(documented), F.col(entered))
 
 
+def rows_or_error(broken: str, wanted: Column, message: str, key: Sequence[str]) -> Column:
+    """As a filter: the wanted rows, unless a precondition is broken; then an error that names the key.
+
+    One expression, so that no filter for the wanted rows alone goes before the check.
+    """
+    shown = [F.concat(F.lit(f"{c} "), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in key]
+    error = F.raise_error(F.concat(F.lit(f"{message}: "), F.concat_ws(", ", *shown))).cast("boolean")
+    return F.when(F.col(broken), error).otherwise(F.coalesce(wanted, F.lit(False)))
+
+
 def exact(value: Column) -> Column:
-    """A charted number as decimal with four places.
+    """A charted number as a decimal with 18 places, which hold all digits a double prints.
 
     Sums of decimals do not depend on the order in which partitions arrive, so a
-    re-run task or another cluster size gives the same digits.
+    re-run task or another cluster size gives the same digits. A number that has no such
+    decimal (NaN, infinite, 1e20 or more) is an error, whatever the ANSI setting.
     """
-    return value.cast("decimal(18,4)")
+    number = value.try_cast("decimal(38,18)")
+    message = F.concat(F.lit("no decimal with 18 places holds "), value.cast("string"))
+    return F.when(value.isNotNull() & number.isNull(), F.raise_error(message)).otherwise(number)
 
 
 def exact_sum(value: Column) -> Column:
-    return F.sum(exact(value))
+    """The sum of the numbers as decimals; an error if it does not fit one."""
+    return checked_sum(F.sum(exact(value)), F.count(value))
+
+
+def checked_sum(total: Column, count: Column) -> Column:
+    """A sum of decimals, which Spark makes NULL on overflow unless ANSI is on; here an error."""
+    lost = total.isNull() & (count > 0)
+    return F.when(lost, F.raise_error(F.lit("a sum overflows its decimal"))).otherwise(total)
 
 
 def first_number(text: str) -> Column:
@@ -56,8 +76,8 @@ def text_rule(
 
     A path is included if it is listed in ``exactly``, if it begins with ``starts``
     and its lower-cased form holds none of the ``without`` substrings, or if it
-    matches one of the ``like`` patterns. NULL for a NULL path, so a filter drops it; as
-    a filter the prefix also reaches the file scan.
+    matches one of the ``like`` patterns. A NULL path is not; the first condition is the
+    prefix alone, so that as a filter it reaches the file scan.
     """
     value = F.col(path)
     rule = value.isin(list(exactly))
@@ -68,4 +88,4 @@ def text_rule(
         rule = rule | guarded
     for pattern in like:
         rule = rule | value.like(pattern)
-    return value.startswith(prefix) & rule
+    return value.isNotNull() & value.startswith(prefix) & rule

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wardline.functions.columns import rows_or_error
 from wardline.operators.segments import (
     SEGMENT,
     own_rows,
@@ -96,6 +97,14 @@ def covers(time: Column, latest_start: Column, end: Column) -> Column:
     return time.isNotNull() & latest_start.isNotNull() & (end.isNull() | (time < end))
 
 
+def overlapping(time: str, start: Column, end: Column, window: WindowSpec) -> Column:
+    """Whether a row begins an interval before the one in force has ended, or together with another."""
+    ends = F.when(start.isNotNull(), F.coalesce(end, F.lit(2**63 - 1)))
+    latest = F.max(ends).over(window.rangeBetween(Window.unboundedPreceding, -1))
+    beside = F.count(start).over(window.rangeBetween(0, 0)) > 1
+    return start.isNotNull() & F.col(time).isNotNull() & ((latest > start) | beside)
+
+
 def interval_lookup(
     points: DataFrame,
     intervals: DataFrame,
@@ -109,9 +118,9 @@ def interval_lookup(
 ) -> DataFrame:
     """Add the values of the interval that holds each point, NULL where none does.
 
-    ``points`` has one row per (key, time); the intervals of a key do not overlap. So
-    the only candidate for a point is the latest interval that started at or before it,
-    and a merge of both sides in time order finds it without pairing rows.
+    The intervals of a key must not overlap, which is checked. So the only candidate for a
+    point is the latest interval that started at or before it, and a merge of both sides
+    in time order finds it without pairing rows.
     """
     names = {c: f"_{c}" for c in values}
     live = live_intervals(intervals, start, end).select(
@@ -127,12 +136,17 @@ def interval_lookup(
 
     # One struct per interval row keeps a NULL end or value with its own start.
     entry = F.when(F.col("_start").isNotNull(), F.struct(*carried))
-    found = rows.withColumn("_entry", entry).withColumn(
-        "_entry", in_force("_entry", segment_window(key, time))
+    window = segment_window(key, time)
+    found = rows.withColumn("_entry", entry).withColumns(
+        {
+            "_entry": in_force("_entry", window),
+            "_overlaps": overlapping(time, F.col("_start"), F.col("_end"), window),
+        }
     )
     valid = covers(F.col(time), F.col("_entry._start"), F.col("_entry._end"))
+    is_point = rows_or_error("_overlaps", F.col("_point"), "intervals overlap", [key, time])
     return (
-        own_rows(found.filter("_point"))
+        own_rows(found.filter(is_point).drop("_overlaps"))
         .withColumns({c: F.when(valid, F.col("_entry").getField(n)) for c, n in names.items()})
         .drop("_point", "_entry", *carried)
     )

@@ -16,8 +16,8 @@ def label_events(df: DataFrame, value: str, vocabulary: Vocabulary, label: str)
 
     A value listed with two labels gives two rows, a value listed with a NULL label
     one row with a NULL label. The list of values is also stated as a filter, so that
-    it reaches the file scan and prunes row groups there. The broadcast side is the
-    vocabulary itself: a fixed list of this package, a few dozen strings long.
+    it reaches the file scan and prunes row groups there. How the two are joined is left
+    to Spark, which knows how long the vocabulary is.
     """
     lookup = df.sparkSession.createDataFrame(
         pa.table(
@@ -28,4 +28,4 @@ def label_events(df: DataFrame, value: str, vocabulary: Vocabulary, label: str)
         )
     )
     known = sorted({v for v, _ in vocabulary})
-    return df.filter(F.col(value).isin(known)).join(F.broadcast(lookup), value)
+    return df.filter(F.col(value).isin(known)).join(lookup, value)

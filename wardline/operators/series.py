@@ -40,12 +40,20 @@ def gap(time: str, window: WindowSpec, *, present: Column, first: int) -> Column
     """Minutes since the previous row of the series, ``first`` where there is none.
 
     ``present`` tells rows of the series from other rows in the same window. A row
-    without a time comes last and has no gap of its own.
+    without a time comes last and has no gap of its own. Two rows of the series at one time
+    are an error, as neither comes before the other.
     """
     before = window.rangeBetween(Window.unboundedPreceding, -1)
     previous = F.last(F.when(present, F.col(time)), ignorenulls=True).over(before)
     elapsed = F.greatest(F.col(time) - previous, F.lit(0).cast("long"))
-    return F.when(present, F.when(previous.isNull(), F.lit(first)).otherwise(elapsed))
+    tied = F.count(F.when(present, F.col(time))).over(window.rangeBetween(0, 0)) > 1
+    message = F.concat(F.lit("a series has several rows at "), F.col(time).cast("string"))
+    return F.when(
+        present,
+        F.when(tied, F.raise_error(message).cast("long"))
+        .when(previous.isNull(), F.lit(first))
+        .otherwise(elapsed),
+    )
 
 
 def observed_gap(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.columns import rows_or_error
 from wardline.operators.segments import own_rows, segment_window, segmented
 
 
@@ -31,20 +32,32 @@ def near_event(
     return own_rows(rows.withColumn(name, near))
 
 
+_SERIES = "_series"
+
+
 def stack_series(keys: Sequence[str], series: Sequence[DataFrame]) -> DataFrame:
     """All rows of several series under one another, each with its own columns filled.
 
     Rows with a NULL in the keys are left out.
     """
-    dated = [s.dropna(subset=list(keys)) for s in series]
+    dated = [
+        s.dropna(subset=list(keys)).withColumn(_SERIES, F.lit(1 << i)) for i, s in enumerate(series)
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dated)
 
 
 def merge_rows(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key with the values that the stacked rows of that key hold."""
-    return stacked.groupBy(*keys).agg(
-        *(F.max(c).alias(c) for c in stacked.columns if c not in keys)
+    """One row per key with the values that the stacked rows of that key hold.
+
+    A series that repeats a key is an error, as no single row would be right.
+    """
+    merged = stacked.groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in stacked.columns if c not in (*keys, _SERIES)),
+        (F.count(_SERIES) > F.bit_count(F.bit_or(_SERIES))).alias("_repeated"),
     )
+    return merged.filter(
+        rows_or_error("_repeated", F.lit(True), "a series has several rows at one key", keys)
+    ).drop("_repeated")
 
 
 def align_series(keys: Sequence[str], series: Sequence[DataFrame]) -> DataFrame:
@@ -66,14 +79,10 @@ def stage_cascade(rules: Sequence[tuple[Column, int | None]], otherwise: int | N
     return chain.otherwise(F.lit(otherwise)).cast("int")
 
 
-def repeat_rows(
-    df: DataFrame, copies: str, *, spread_by: Sequence[str], block: int = 1_000
-) -> DataFrame:
+def repeat_rows(df: DataFrame, copies: str, *, block: int = 1_000) -> DataFrame:
     """Each row ``copies`` times, without the ``copies`` column.
 
-    Rows are first cut into blocks and the blocks spread over the cluster by the given
-    columns and their number, so that the copies of one row are neither built in one
-    array nor all written by one task.
+    Rows are first cut into blocks, so that the copies of one row are not built in one array.
     """
     columns = [c for c in df.columns if c != copies]
     one = F.lit(1).cast("long")
@@ -81,8 +90,4 @@ def repeat_rows(
         "_block", F.explode(F.sequence(one, F.ceil(F.col(copies) / block)))
     )
     size = F.least(F.lit(block).cast("long"), F.col(copies) - (F.col("_block") - 1) * block)
-    return (
-        blocks.repartition(*spread_by, "_block")
-        .withColumn("_copy", F.explode(F.sequence(one, size)))
-        .select(*columns)
-    )
+    return blocks.withColumn("_copy", F.explode(F.sequence(one, size))).select(*columns)

@@ -2,39 +2,50 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardline.functions.columns import exact_sum
+from wardline.functions.columns import checked_sum, exact_sum
 from wardline.operators.series import Trailing, trailing
+from wardline.plans.stays import stays
 from wardline.schemas import STAY
 
 HOURS_48 = 2_880
 DAYS_7 = 10_080
-LOWEST, HIGHEST = 0.01, 150
+LOWEST, HIGHEST = "0.01", 150
 
 
 def kdigo_creatinine(patient: DataFrame, lab: DataFrame, *, ordered: bool = False) -> DataFrame:
     """Mean creatinine per offset and the lowest earlier value within 48 hours and 7 days.
 
     Labs are averaged before the join with the stays, so repeated labs shrink map-side.
+    Decimal labs stay decimals, so that a rise of exactly 0.3 is one; doubles are summed as
+    decimals and averaged as doubles.
     """
+    total = exact_sum(F.col("labresult"))
+    if isinstance(lab.schema["labresult"].dataType, T.DecimalType):
+        total = checked_sum(F.sum("labresult"), F.count("labresult"))
+    else:
+        total = total.cast("double")
     series = (
         lab.filter(
             (F.lower("labname") == "creatinine")
-            & F.col("labresult").between(LOWEST, HIGHEST)
+            & F.col("labresult").between(F.lit(Decimal(LOWEST)), HIGHEST)
             & (F.col("labresultoffset") >= -DAYS_7)
         )
         .groupBy(STAY, "labresultoffset")
         .agg(
-            (exact_sum(F.col("labresult")).cast("double") / F.count("labresult")).alias("creat")
+            (total / F.count("labresult")).alias("creat")
         )
     )
     within_stay = F.col("unitdischargeoffset").isNull() | (
         F.col("labresultoffset") <= F.col("unitdischargeoffset")
     )
-    stays = patient.select(STAY, "patienthealthsystemstayid", "unitdischargeoffset")
-    of_stays = series.join(stays, STAY).filter(within_stay).drop("unitdischargeoffset")
+    listed = stays(patient, "patienthealthsystemstayid", "unitdischargeoffset")
+    of_stays = series.join(listed, STAY).filter(within_stay).drop("unitdischargeoffset")
 
     lowest = F.min("creat")
     result = trailing(

@@ -13,7 +13,6 @@ from wardline.plans.stages import kdigo_stages
 from wardline.plans.urine_output import urine_output
 from wardline.plans.urine_rate import kdigo_uo
 from wardline.plans.weight_durations import weight_durations
-from wardline.sources.tables import kept
 
 #: Each derived table with the plan that makes it and the tables that plan takes by name.
 PLANS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
@@ -50,20 +49,29 @@ def source_names(name: str) -> set[str]:
     return set().union(*(source_names(n) for n in PLANS[name][1]))
 
 
+#: Derived tables that some plan reads more than once.
+READ_TWICE = {"urine_output", "weight_durations", "dialysis_events"}
+
+
 def derive(
     name: str,
     sources: Mapping[str, DataFrame],
     *,
-    store: Callable[[DataFrame, str], DataFrame] = kept,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
     **options: bool,
 ) -> DataFrame:
-    """A derived table; derived tables it is made from are stored on the way.
+    """A derived table, made from the source tables in one plan.
 
-    ``sources`` may already hold some of those; they are then taken from there.
+    ``sources`` may already hold derived tables it is made from; they are then taken from
+    there. ``store``, such as ``store_in(folder)``, is given each table on the way that is
+    read more than once, and hands back one that reads what it stored.
     """
+    if name not in PLANS:
+        raise ValueError(f"no table {name!r}; there are {', '.join(PLANS)}")
     plan, inputs = PLANS[name]
-    tables = {
-        n: sources[n] if n in sources else store(derive(n, sources, store=store), n)
-        for n in inputs
-    }
+    tables = {}
+    for n in inputs:
+        tables[n] = sources[n] if n in sources else derive(n, sources, store=store)
+        if store is not None and n not in sources and n in READ_TWICE:
+            tables[n] = store(tables[n], n)
     return plan(**tables, **options)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from wardline.operators.staging import (
     stack_series,
     stage_cascade,
 )
+from wardline.plans.stays import stays
 from wardline.schemas import DERIVED, STAY
 
 NEAR_MINUTES = 720
@@ -23,17 +26,25 @@ EARLY_MINUTES = 360
 _TIME = "chartoffset"
 
 
+def _decimal(number: str) -> Column:
+    return F.lit(Decimal(number))
+
+
 def creatinine_stage(creat: Column, low_7day: Column, low_48hr: Column) -> Column:
-    """NULL without a baseline from the last seven days."""
-    severe = (creat >= low_7day * 3.0) | (
-        (creat >= 4) & ((low_48hr <= 3.7) | (creat >= low_7day * 1.5))
+    """NULL without a baseline from the last seven days.
+
+    Thresholds are decimals: decimal labs are compared exactly, doubles with the same numbers as
+    doubles.
+    """
+    severe = (creat >= low_7day * 3) | (
+        (creat >= 4) & ((low_48hr <= _decimal("3.7")) | (creat >= low_7day * _decimal("1.5")))
     )
-    mild = (creat >= low_48hr + 0.3) | (creat >= low_7day * 1.5)
+    mild = (creat >= low_48hr + _decimal("0.3")) | (creat >= low_7day * _decimal("1.5"))
     return stage_cascade(
         [
             (creat.isNull() | low_7day.isNull(), None),
             (severe, 3),
-            (creat >= low_7day * 2.0, 2),
+            (creat >= low_7day * 2, 2),
             (mild, 1),
         ],
         otherwise=0,
@@ -112,11 +123,10 @@ def kdigo_stages(
         )
     )
 
-    stays = patient.select(STAY, "uniquepid", "patienthealthsystemstayid")
-    rows = staged.join(stays, STAY).select(
+    rows = staged.join(stays(patient, "uniquepid", "patienthealthsystemstayid"), STAY).select(
         *DERIVED["kdigo_stages"].fieldNames(), F.coalesce("_events", F.lit(1)).alias("_copies")
     )
-    result = repeat_rows(rows, "_copies", spread_by=[STAY, _TIME])
+    result = repeat_rows(rows, "_copies")
     return result.orderBy(STAY, _TIME) if ordered else result
 
 

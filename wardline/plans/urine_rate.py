@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.columns import exact, rounded_rate
-from wardline.operators.intervals import covers, in_force, live_intervals
+from wardline.functions.columns import checked_sum, exact, rounded_rate, rows_or_error
+from wardline.operators.intervals import covers, in_force, live_intervals, overlapping
 from wardline.operators.segments import own_rows, segment_window, segmented
 from wardline.operators.series import Trailing, gap
+from wardline.plans.stays import stays
 from wardline.schemas import STAY
 
 HOURS = (6, 12, 24)
-# Volumes are summed as whole ten-thousandths of a millilitre: exact like the decimals
-# they come from, and cheaper in frames that are summed anew for every row.
-UNITS = 10_000
 FIRST_ROW_MINUTES = 60
 
 
@@ -34,17 +32,17 @@ def kdigo_uo(
     so the 6, 12 and 24 hour limits are met exactly.
 
     Urine rows and weight intervals are merged in time order, so one shuffle and one
-    sort serve the gaps, the trailing sums and the interval lookup. ``urine_output`` has
-    one row per stay and offset and the intervals of a stay do not overlap, as the plans
-    that make them see to.
+    sort serve the gaps, the trailing sums and the interval lookup. Two urine rows of a stay
+    at one offset, overlapping intervals and stays listed twice are errors; the plans that
+    make these tables give none.
     """
     time = "chartoffset"
     urine = urine_output.select(
         STAY,
         time,
-        (exact(F.col("urineoutput")) * UNITS).cast("long").alias("volume"),
+        exact(F.col("urineoutput")).alias("volume"),
         F.lit(True).alias("_urine"),
-    )
+    ).join(stays(patient), STAY, "left_semi")
     weights = live_intervals(weight_durations, "startoffset", "endoffset").select(
         STAY,
         F.col("startoffset").alias(time),
@@ -68,6 +66,7 @@ def kdigo_uo(
         {
             "minutes": gap(time, window, present=is_urine, first=FIRST_ROW_MINUTES),
             "_interval": in_force("_interval", window),
+            "_overlaps": overlapping(time, F.col("_start"), F.col("_end"), window),
         }
     )
     rows = rows.withColumns(
@@ -76,14 +75,16 @@ def kdigo_uo(
             for sums in ("volume", "minutes")
             for h in HOURS
         }
+        | {f"volumes_{h}": Trailing(F.count("volume"), h * 60).over(window) for h in HOURS}
     )
     valid = covers(F.col(time), F.col("_interval._start"), F.col("_interval._end"))
-    rows = own_rows(rows.filter(is_urine)).withColumn(
+    own = rows_or_error("_overlaps", is_urine, "weight intervals overlap", [STAY, time])
+    rows = own_rows(rows.filter(own)).withColumn(
         "weight", F.when(valid, F.col("_interval._weight"))
     )
 
     def volume(h: int) -> Column:
-        return F.col(f"volume_{h}") / F.lit(float(UNITS))
+        return checked_sum(F.col(f"volume_{h}"), F.col(f"volumes_{h}")).cast("double")
 
     def hours(h: int) -> Column:
         return F.col(f"minutes_{h}") / F.lit(60.0)
@@ -104,5 +105,5 @@ def kdigo_uo(
         *(volume(h).alias(f"urineoutput_{h}hr") for h in HOURS),
         *(rate(h).alias(f"uo_rt_{h}hr") for h in HOURS),
         *(hours(h).alias(f"uo_tm_{h}hr") for h in HOURS),
-    ).join(patient.select(STAY), STAY, "left_semi")
+    )
     return result.orderBy(STAY, F.col(time).asc_nulls_last()) if ordered else result

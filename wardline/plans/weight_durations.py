@@ -11,6 +11,7 @@ from wardline import vocab
 from wardline.functions.columns import first_number, kilograms
 from wardline.operators.intervals import validity_intervals
 from wardline.operators.staging import repeat_rows
+from wardline.plans.stays import stays
 from wardline.schemas import STAY
 
 LOWEST, HIGHEST = 20, 1000
@@ -96,10 +97,8 @@ def weight_durations(
     the last of them get an interval of length zero.
     """
     records = weight_records(patient, infusiondrug, physicalexam, intakeoutput)
-    stays = patient.select(
-        STAY, admit_offset(patient).alias("admitoffset"), "unitdischargeoffset"
-    )
-    counts = _with_first_admit_moved(records, stays)
+    listed = stays(patient, admit_offset(patient).alias("admitoffset"), "unitdischargeoffset")
+    counts = _with_first_admit_moved(records, listed)
 
     is_admit = F.col("weight_type") == ADMIT
     daily, admit = F.when(~is_admit, F.col("weight")), F.when(is_admit, F.col("weight"))
@@ -124,7 +123,7 @@ def weight_durations(
     )
     intervals = validity_intervals(
         starts,
-        stays,
+        listed,
         STAY,
         "startoffset",
         opening="admitoffset",
@@ -133,7 +132,7 @@ def weight_durations(
         payload=["weight", "weight_type"],
         first_payload={"weight": "first_weight", "weight_type": "first_weight_type"},
     )
-    result = intervals.unionByName(_zero_length(counts, starts, stays))
+    result = intervals.unionByName(_zero_length(counts, starts, listed))
     return result.orderBy(STAY, "startoffset") if ordered else result
 
 
@@ -141,7 +140,7 @@ def _kind(is_admit: Column) -> Column:
     return F.when(is_admit, F.lit(ADMIT)).otherwise(F.lit(DAILY))
 
 
-def _with_first_admit_moved(records: DataFrame, stays: DataFrame) -> DataFrame:
+def _with_first_admit_moved(records: DataFrame, listed: DataFrame) -> DataFrame:
     """How often each (stay, start, type, weight) occurs, equal records counted map-side.
 
     One copy of the first admission weight of a stay counts from before admission
@@ -152,7 +151,7 @@ def _with_first_admit_moved(records: DataFrame, stays: DataFrame) -> DataFrame:
         .groupBy(STAY)
         .agg(F.min(F.struct("chartoffset", "weight")).alias("first"))
     )
-    moved = stays.join(first, STAY).select(
+    moved = listed.join(first, STAY).select(
         STAY,
         F.explode(
             F.array(
@@ -186,7 +185,7 @@ def _with_first_admit_moved(records: DataFrame, stays: DataFrame) -> DataFrame:
     )
 
 
-def _zero_length(counts: DataFrame, starts: DataFrame, stays: DataFrame) -> DataFrame:
+def _zero_length(counts: DataFrame, starts: DataFrame, listed: DataFrame) -> DataFrame:
     """The tied weights that do not carry on: all at one start but one copy of the last.
 
     Many different weights may be charted at one start, so the join is salted by weight.
@@ -207,7 +206,7 @@ def _zero_length(counts: DataFrame, starts: DataFrame, stays: DataFrame) -> Data
         counts.withColumn("_salt", salt)
         .join(tied, [STAY, "startoffset", "_salt"])
         .withColumn("copies", F.col("copies") - carries_on.cast("long"))
-        .join(stays, STAY, "left_semi")
+        .join(listed, STAY, "left_semi")
         .select(
             STAY,
             "startoffset",
@@ -217,4 +216,4 @@ def _zero_length(counts: DataFrame, starts: DataFrame, stays: DataFrame) -> Data
             "copies",
         )
     )
-    return repeat_rows(rest, "copies", spread_by=[STAY, "startoffset", "weight"])
+    return repeat_rows(rest, "copies")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.schemas import OPTIONAL, SOURCES
 
@@ -16,28 +16,47 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     """The declared columns of a source table, in their declared types and lower case.
 
     Other columns are dropped, so they are not read. A column that has its type already
-    is left as it is and filters on it still reach the scan; text that is no number
-    becomes NULL. A missing unit admission offset is read as NULL.
+    is left as it is and filters on it still reach the scan, and so is a decimal where a
+    double is declared: its digits are kept. Any other value that does not survive its
+    type is an error when the column is read: text that is no number, an offset with a
+    fraction or beyond the type's range. A missing unit admission offset is read as NULL.
     """
-    present = {c.lower() for c in df.columns}
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
     return df.select(
         *(
-            F.col(f.name).try_cast(f.dataType).alias(f.name)
-            if f.name in present or f.name not in OPTIONAL
+            _conformed(f.name, kinds.get(f.name), f.dataType).alias(f.name)
+            if f.name in kinds or f.name not in OPTIONAL
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in SOURCES[name]
         )
     )
 
 
-def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A source table from ``<root>/<name>.parquet``."""
-    return conform(spark.read.parquet(f"{root}/{name}.parquet"), name)
+def _conformed(column: str, kind: T.DataType | None, wanted: T.DataType) -> Column:
+    value = F.col(column)
+    if kind == wanted or isinstance(wanted, T.StringType):
+        return value.cast(wanted)
+    if isinstance(kind, T.DecimalType) and isinstance(wanted, T.DoubleType):
+        return value
+    cast = value.try_cast(wanted)
+    lost = value.isNotNull() & cast.isNull()
+    if isinstance(wanted, T.LongType) and not isinstance(kind, T.IntegralType):
+        # a cast to a whole number cuts fractions off
+        lost = lost | (value.try_cast("decimal(38,18)") != cast)
+    message = F.concat(F.lit(f"{column} cannot be read as {wanted.simpleString()}: "), value.cast("string"))
+    return F.when(lost, F.raise_error(message)).otherwise(cast)
+
+
+def read_source(spark: SparkSession, root: str | None, name: str) -> DataFrame:
+    """A source table from ``<root>/<name>.parquet``, or without a root from the catalogue."""
+    df = spark.table(name) if root is None else spark.read.parquet(f"{root}/{name}.parquet")
+    return conform(df, name)
 
 
 def read_sources(
-    spark: SparkSession, root: str, names: Iterable[str] = tuple(SOURCES)
+    spark: SparkSession, root: str | None, names: Iterable[str] = tuple(SOURCES)
 ) -> dict[str, DataFrame]:
+    """Source tables by name; without a root they are tables of the current catalogue and schema."""
     return {name: read_source(spark, root, name) for name in names}
 
 
@@ -47,26 +66,10 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
-    return context.getCheckpointDir()
-
-
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Store a derived table that several later steps read.
+def store_in(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """A way for `derive` to store the tables that several steps read: as Parquet under ``folder``.
 
-    The later steps then start from files on shared storage: they are computed once, a
-    lost executor costs no more than the step at hand, and plans stay small. Stored
-    tables stay in the folder, as checkpoints do. Where no shared folder is named the
-    table is left to be computed as part of its consumers.
+    The later steps then start from files: they are computed once and plans stay small. The
+    folder must be one that driver and executors share; its owner removes it.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    return write_table(df, f"{folder}/{name}-{uuid.uuid4().hex}")
+    return lambda df, name: write_table(df, f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")

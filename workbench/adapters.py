@@ -97,7 +97,7 @@ def _lab(ev: DataFrame) -> DataFrame:
     return _of(ev, "view").select(
         STAY,
         _pick(k % 4, LAB_NAMES).alias("labname"),
-        F.when(k % 29 == 0, None).when(k % 31 == 0, v * 10).otherwise(v / 50).alias("labresult"),
+        F.when(k % 29 == 0, None).when(k % 31 == 0, v * 10).otherwise(v / 49.7).alias("labresult"),
         F.col("off").alias("labresultoffset"),
     )
 
@@ -165,7 +165,7 @@ def _intakeoutput(ev: DataFrame) -> DataFrame:
         F.when(k % 5 == 0, v).when(k % 5 == 1, 0.0).alias("dialysistotal"),
         _pick(k % 12, CELL_PATHS).alias("cellpath"),
         cell.alias("celllabel"),
-        F.when(k % 13 != 0, v).alias("cellvaluenumeric"),
+        F.when(k % 13 != 0, v * 1.0000123).alias("cellvaluenumeric"),
     )
 
 
@@ -256,7 +256,7 @@ SOURCES_SQL = {
   FROM customer)""",
     "lab": f"""lab AS (
   SELECT sid AS patientunitstayid, {_sql_pick("k % 4", LAB_NAMES)} AS labname,
-         CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN v * 10 ELSE v / 50 END AS labresult,
+         CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN v * 10 ELSE v / CAST(49.7 AS DOUBLE) END AS labresult,
          off AS labresultoffset
   FROM ev WHERE et = 'view')""",
     "treatment": f"""treatment AS (
@@ -287,7 +287,7 @@ SOURCES_SQL = {
          {_sql_pick("k % 12", CELL_PATHS)} AS cellpath,
          CASE k % 17 WHEN 0 THEN 'Bodyweight (kg)' WHEN 1 THEN 'Bodyweight (lb)'
                      ELSE 'Other' END AS celllabel,
-         CASE WHEN k % 13 <> 0 THEN v END AS cellvaluenumeric
+         CASE WHEN k % 13 <> 0 THEN v * CAST(1.0000123 AS DOUBLE) END AS cellvaluenumeric
   FROM ev WHERE et IN ('click', 'error'))""",
     "pasthistory": f"""pasthistory AS (
   SELECT sid AS patientunitstayid, CASE WHEN k <> 31 THEN off END AS pasthistoryoffset,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import statistics
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from wardline.operators.intervals import interval_lookup
 from wardline.operators.series import Trailing, trailing
 from wardline.schemas import STAY
-from wardline.sources.tables import kept
+from wardline.sources.tables import store_in
 from workbench import queries
 from workbench.check import session
 
@@ -83,6 +84,7 @@ def seconds(build: Callable[[], DataFrame], runs: int = 3) -> float:
 
 def main(sf_dir: str = "/root/testdata/sf0.1") -> None:
     spark: SparkSession = session()
+    kept = store_in(tempfile.mkdtemp(prefix="alternatives-"))
     series = kept(
         queries.kdigo_creatinine(spark, sf_dir).select(STAY, TIME, "creat"), "series"
     )

@@ -20,7 +20,8 @@ def _sources(*names: str) -> list[str]:
 
 
 def _dec(expression: str) -> str:
-    return f"CAST({expression} AS DECIMAL(18, 4))"
+    """All digits of a number as it prints; DuckDB's own cast from a double would round."""
+    return f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 18))"
 
 
 def _vocabulary(entries: tuple[tuple[str, str | None], ...]) -> str:
@@ -429,6 +430,25 @@ ORACLE: dict[str, str] = {
         SERIES,
         LOWS,
     ),
+    "creatinine_decimal": _query(
+        """SELECT patientunitstayid, labresultoffset, c AS tenths,
+             CASE WHEN low_7day IS NULL THEN NULL
+                  WHEN c >= 3 * low_7day OR (c >= 40 AND (low_48hr <= 37 OR 2 * c >= 3 * low_7day)) THEN 3
+                  WHEN c >= 2 * low_7day THEN 2
+                  WHEN c >= low_48hr + 3 OR 2 * c >= 3 * low_7day THEN 1
+                  ELSE 0 END::INTEGER AS stage
+           FROM (SELECT t.*,
+                   MIN(c) OVER (PARTITION BY patientunitstayid ORDER BY labresultoffset
+                                RANGE BETWEEN 2880 PRECEDING AND 1 PRECEDING) AS low_48hr,
+                   MIN(c) OVER (PARTITION BY patientunitstayid ORDER BY labresultoffset
+                                RANGE BETWEEN 10080 PRECEDING AND 1 PRECEDING) AS low_7day
+                 FROM tenths t)""",
+        *_sources("patient"),
+        """tenths AS (
+          SELECT sid AS patientunitstayid, off AS labresultoffset, max(k)::BIGINT + 5 AS c
+          FROM ev JOIN patient ON patientunitstayid = sid
+          WHERE et = 'view' AND off BETWEEN -10080 AND ifnull(unitdischargeoffset, off) GROUP BY ALL)""",
+    ),
     "guarded_rate": _query(
         """SELECT user_id, off,
              CASE WHEN user_id % 50 > 0 AND abs(off % 1440) >= 360

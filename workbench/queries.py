@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,10 @@ from wardline.operators.intervals import interval_lookup, validity_intervals
 from wardline.operators.labels import label_events
 from wardline.operators.series import Trailing, observed_gap, trailing
 from wardline.operators.staging import align_series, near_event
+from wardline.plans.creatinine import kdigo_creatinine as creatinine_plan
 from wardline.plans.derive import derive, source_names
 from wardline.plans.stages import creatinine_stage
 from wardline.plans.weight_durations import admit_offset
-from wardline.sources.tables import kept
 from workbench.adapters import events, sources, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +118,6 @@ def _signup_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("sid").alias("patientunitstayid"), "off")
         .agg(F.max("v").alias("v"))
     )
-    starts = kept(starts, "signups")  # read for the rows and for the ends of segments
     patient = sources(spark, sf_dir, "patient")["patient"]
     bounds = patient.select(
         "patientunitstayid", admit_offset(patient).alias("admit"), "unitdischargeoffset"
@@ -146,8 +146,8 @@ def interval_lookup_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count("*").alias("clicks"))
     )
     return interval_lookup(
-        kept(clicks, "clicks"),
-        kept(_signup_intervals(spark, sf_dir), "signup_intervals"),
+        clicks,
+        _signup_intervals(spark, sf_dir),
         "user_id",
         "off",
         start="startoffset",
@@ -278,19 +278,14 @@ def group_sum_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers with a balance, and whether the customer ever had a status F.
-
-    What is known of a customer is stored before the one join that meets all orders: both
-    sides of that join are then plain shuffles, which adaptive execution can split where
-    one customer holds many orders.
-    """
+    """Orders of customers with a balance, and whether the customer ever had a status F."""
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
     known = (
         table(spark, sf_dir, "customer").filter(F.col("c_acctbal").isNotNull()).select("c_custkey")
     )
     status_f = orders.filter(F.col("o_orderstatus") == "F").select("c_custkey").distinct()
     ever = known.join(status_f, "c_custkey", "left_semi").withColumn("ever_f", F.lit(1))
-    customers = kept(known.join(ever, "c_custkey", "left").fillna(0, ["ever_f"]), "customers")
+    customers = known.join(ever, "c_custkey", "left").fillna(0, ["ever_f"])
     return orders.join(customers, "c_custkey").select("o_orderkey", "c_custkey", "ever_f")
 
 
@@ -313,6 +308,23 @@ def stage_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lows.select("user_id", "off", stage.alias("stage"))
 
 
+def creatinine_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages of labs charted as decimals, where a rise of exactly 0.3 is one."""
+    tenths = F.max("k").cast("decimal(6,0)") + 5
+    lab = (
+        events(spark, sf_dir)
+        .filter(F.col("et") == "view")
+        .groupBy(F.col("sid").alias("patientunitstayid"), F.col("off").alias("labresultoffset"))
+        .agg((tenths * F.lit(Decimal("0.1"))).alias("labresult"))
+        .withColumn("labname", F.lit("creatinine"))
+    )
+    rows = creatinine_plan(sources(spark, sf_dir, "patient")["patient"], lab)
+    stage = creatinine_stage(*(F.col(c) for c in ("creat", "creat_low_past_7day", "creat_low_past_48hr")))
+    return rows.select(
+        "patientunitstayid", "labresultoffset", (F.col("creat") * 10).cast("long").alias("tenths"), stage.alias("stage")
+    )
+
+
 def guarded_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value per unit and hour, only where both are positive."""
     span = F.abs(F.col("off") % 1440)
@@ -362,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "semi_join": semi_join,
     "align_series": align_three_series,
     "stage_cascade": stage_cascade,
+    "creatinine_decimal": creatinine_decimal,
     "guarded_rate": guarded_rate,
     "project_const_sort": project_const_sort,
 }
