@@ -7,6 +7,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from pyspark.sql import functions as F
+from wardline import vocab
+from wardline.vocab import URINE_PATHS
+from workbench.adapters import sources
 from workbench.check import connect, rows_of_spark, rows_of_sql
 from workbench.oracle import ORACLE
 from workbench.queries import QUERIES
@@ -51,7 +55,13 @@ def test_branches_are_reached(spark):
     assert len(distinct("q2_dialysis_events", "dialysis_type")) == 24
     assert None in distinct("q2_dialysis_events", "dialysis_type")
     assert distinct("q7_kdigo_stages", "aki_stage_creat") == {None, 0, 1, 2, 3}
-    assert distinct("q7_kdigo_stages", "aki_stage_uo") >= {None, 0, 2, 3}
+    assert distinct("q7_kdigo_stages", "aki_stage_uo") == {None, 0, 1, 2, 3}
+    per_stage = f"SELECT aki_stage_uo, COUNT(*) FROM ({ORACLE['q7_kdigo_stages']}) GROUP BY 1"
+    assert min(n for _, n in con.execute(per_stage).fetchall()) >= 5
+    cells = sources(spark, sf_dir, "intakeoutput")["intakeoutput"]
+    assert cells.filter(F.col("cellpath").isin(list(URINE_PATHS))).select("cellpath").distinct().count() == 86
+    digits = cells.filter(F.round("cellvaluenumeric", 4) != F.col("cellvaluenumeric"))
+    assert digits.count() > 1_000
     assert distinct("text_rules", "included") == {0, 1}
     assert distinct("creatinine_decimal", "stage") == {None, 0, 1, 2, 3}
     rates = f"SELECT COUNT(uo_rt_6hr), COUNT(uo_rt_12hr), COUNT(uo_rt_24hr) FROM ({ORACLE['q6_kdigo_uo']})"
@@ -60,6 +70,15 @@ def test_branches_are_reached(spark):
     assert con.execute(repeated).fetchone()[0] > 0
 
 
+def test_vocabulary_has_its_size():
+    """The SQL takes its strings from the same lists, so their sizes and some entries are stated here too."""
+    sizes = (len(URINE_PATHS), len(set(URINE_PATHS)), len(vocab.DIALYSIS_TREATMENT), len(vocab.MCS_TREATMENT), len(vocab.MCS_DIAGNOSIS))
+    assert sizes == (86, 86, 31, 7, 4)
+    assert "flowsheet|Flowsheet Cell Labels|I&O|Output (ml)|Urine" in URINE_PATHS
+    assert all(x.startswith(vocab.OUTPUT_PREFIX) for x in URINE_PATHS)
+    assert {label for _, label in vocab.DIALYSIS_TREATMENT} >= {"CVVH", "SLED"}
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.columns == [

@@ -163,9 +163,11 @@ def _intakeoutput(ev: DataFrame) -> DataFrame:
         F.when(k % 23 != 0, F.col("off")).alias("intakeoutputoffset"),
         F.col("entered").alias("intakeoutputentryoffset"),
         F.when(k % 5 == 0, v).when(k % 5 == 1, 0.0).alias("dialysistotal"),
-        _pick(k % 12, CELL_PATHS).alias("cellpath"),
+        F.when(k % 12 == 0, _pick(F.abs(F.col("off")) % len(vocab.URINE_PATHS), vocab.URINE_PATHS))
+        .otherwise(_pick(k % 12, CELL_PATHS))
+        .alias("cellpath"),
         cell.alias("celllabel"),
-        F.when(k % 13 != 0, v * 1.0000123).alias("cellvaluenumeric"),
+        F.when(k % 13 != 0, v * 16.0000123).alias("cellvaluenumeric"),
     )
 
 
@@ -284,10 +286,11 @@ SOURCES_SQL = {
   SELECT sid AS patientunitstayid, CASE WHEN k % 23 <> 0 THEN off END AS intakeoutputoffset,
          off + 15 AS intakeoutputentryoffset,
          CASE WHEN k % 5 = 0 THEN v WHEN k % 5 = 1 THEN 0.0 END AS dialysistotal,
-         {_sql_pick("k % 12", CELL_PATHS)} AS cellpath,
+         CASE WHEN k % 12 = 0 THEN {_sql_pick(f"abs(off) % {len(vocab.URINE_PATHS)}", vocab.URINE_PATHS)}
+              ELSE {_sql_pick("k % 12", CELL_PATHS)} END AS cellpath,
          CASE k % 17 WHEN 0 THEN 'Bodyweight (kg)' WHEN 1 THEN 'Bodyweight (lb)'
                      ELSE 'Other' END AS celllabel,
-         CASE WHEN k % 13 <> 0 THEN v * CAST(1.0000123 AS DOUBLE) END AS cellvaluenumeric
+         CASE WHEN k % 13 <> 0 THEN v * CAST(16.0000123 AS DOUBLE) END AS cellvaluenumeric
   FROM ev WHERE et IN ('click', 'error'))""",
     "pasthistory": f"""pasthistory AS (
   SELECT sid AS patientunitstayid, CASE WHEN k <> 31 THEN off END AS pasthistoryoffset,
