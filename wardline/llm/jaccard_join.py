@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.components import components
-from wardline.llm.shared import store
+from wardline.llm.shared import drop, store
 from wardline.llm.signature_tree import joins
 
 WORDS, PERCENT = 5, 80
@@ -22,6 +22,8 @@ BEYOND = 10
 TOGETHER, PIVOTS = 64_000, 8
 #: Shingles a task looks through at once for those it has twice.
 CHUNK = 2_000_000
+#: Bits of the sieve that spares most documents from being shuffled, and bits set per set.
+SIEVE, PROBES = 1 << 26, 4
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -92,6 +94,8 @@ def _first_shingles(sets: Iterator[tuple[int, np.ndarray]], percent: int, beyond
         size = np.diff(np.r_[begin, len(h)])
         several = np.repeat(size, size) > 1
         known, n = np.unique(owner[several], return_counts=True)
+        # set by set again, as rows that repeat a key take less room in a shuffle
+        begin, size = begin[by := np.argsort(owner[begin], kind="stable")], size[by]
         columns = [
             np.r_[np.zeros(len(begin), np.int32), np.ones(len(known), np.int32)],
             np.r_[h[begin], known],
@@ -174,26 +178,54 @@ def _edges(sets: DataFrame, percent: int) -> DataFrame:
     return first.join(least, "h").select(F.col("key").alias("a"), "b").where("a <> b").distinct()
 
 
-def _with_texts(docs: DataFrame, kept: DataFrame, words: int, salt: int) -> DataFrame:
-    """(key, tokens) of the sets named by `kept` (key, first), which are made again from their first document."""
+def _places(keys: np.ndarray) -> np.ndarray:
+    """The bits of a sieve that stand for each key; keys are hashes already."""
+    low, step = keys.view(np.uint64) & np.uint64(0xFFFFFFFF), keys.view(np.uint64) >> np.uint64(32)
+    return ((low[:, None] + np.arange(PROBES, dtype=np.uint64) * (step | np.uint64(1))[:, None]) % np.uint64(SIEVE)).astype(np.int64)
+
+
+def _sieve(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the keys; if they are too many for it, more others pass, and no key is lost."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = np.zeros(SIEVE, bool)
+        for batch in batches:
+            sieve[_places(batch.column("key").to_numpy())] = True
+        packed = np.packbits(sieve).view(np.int64)
+        word = np.flatnonzero(packed)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(packed[word])], ["word", "bits"])
+
+    found = keys.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    packed = np.zeros(SIEVE // 64, np.int64)
+    packed[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return packed.view(np.uint8)
+
+
+def _with_tokens(docs: DataFrame, kept: DataFrame, words: int, salt: int) -> DataFrame:
+    """(key, tokens) of the sets named by `kept` (key). All texts are gone through again, but only what passes
+    the sieve is shuffled."""
+    spread = docs.sparkSession.sparkContext.broadcast(_sieve(kept))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve, met = spread.value, set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
-                tokens = [shingles(x or "", words) for x in some.column("text").to_pylist()]
-                own = [len(x) and key_of(x, salt) == k for x, k in zip(tokens, some.column("key").to_pylist(), strict=True)]
-                mine = pa.array([bool(x) for x in own])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column("key").filter(mine),
-                        pa.array([x.view(np.int64) for x, y in zip(tokens, own, strict=True) if y], pa.list_(pa.int64())),
-                    ],
-                    ["key", "tokens"],
-                )
-
-    rows = docs.join(kept, docs.id.eqNullSafe(kept["first"])).select("key", "text")
-    return rows.mapInArrow(made, "key long, tokens array<long>").dropDuplicates(["key"])
+            keys, tokens = [], []
+            for text in batch.column("text").to_pylist():
+                found = shingles(text or "", words)
+                key = key_of(found, salt) if len(found) else None
+                if key is None or key in met:
+                    continue
+                at = _places(np.array([key]))
+                if (sieve[at >> 3] >> (7 - (at & 7)) & 1).all():
+                    met.add(key)
+                    keys.append(key)
+                    tokens.append(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], ["key", "tokens"]
+            )
+
+    rows = docs.select("text").mapInArrow(made, "key long, tokens array<long>")
+    return rows.join(kept, "key").dropDuplicates(["key"])
 
 
 def _compare(rows: DataFrame, percent: int) -> DataFrame:
@@ -223,8 +255,7 @@ def near_groups(
 
     1. Equal sets are one class. 2. A set goes on if enough of its first shingles, by hash, are also
     among the first of other sets; others cannot be alike to any. Of the sets that go on, those stay
-    that have `percent` % of all their shingles in common with others, and this once more among
-    those that stay. 3. Sets that share one of their rarest shingles, at first or
+    that have `percent` % of all their shingles in common with others. 3. Sets that share one of their rarest shingles, at first or
     second hand, are a block; alike sets always are in one. 4. Every block is compared by
     signature trees. A block of more than TOGETHER shingles is cut by size and hash into parts of
     about that many: first each part with a few pivots, sets that all parts of a block see, then
@@ -247,18 +278,19 @@ def near_groups(
             break
         salt += 1
     first = docs.select("text").mapInArrow(_of_texts(words, percent, salt), FIRST)
-    met = classes.join(_met(first, classes, percent, BEYOND), "key").select("key", "first")
-    sets = store(_with_texts(docs, met, words, salt), "sets")
-    for _ in range(2):
-        met = _met(sets.mapInArrow(_of_sets(percent, 100), FIRST), classes, percent, 100)
-        sets = store(sets.join(met, "key"), "sets")
-    blocks = components(_edges(sets, percent))
+    met = store(_met(first, classes, percent, BEYOND), "met")
+    met_sets = store(_with_tokens(docs, met, words, salt), "sets")
+    met = _met(met_sets.mapInArrow(_of_sets(percent, 100), FIRST), classes, percent, 100)
+    near_sets = store(met_sets.join(met, "key"), "sets")
+    drop(met_sets)
+    blocks = components(_edges(near_sets, percent))
     sets = store(
-        sets.join(blocks.withColumnRenamed("node", "key").withColumnRenamed("component", "block"), "key").select(
+        near_sets.join(blocks.withColumnRenamed("node", "key").withColumnRenamed("component", "block"), "key").select(
             "key", "block", F.size("tokens").alias("size"), "tokens"
         ),
         "blocks",
     )
+    drop(near_sets)
     links = store(_links(sets, percent), "links")
     joined = components(links).withColumnRenamed("node", "key")
     of_class = classes.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
