@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,24 +25,87 @@ CHUNK = 2_000_000
 SIEVE, PROBES = 1 << 26, 4
 
 
-def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of `words` words; of all words, if there are fewer; or none.
+def _powers(n: int, base: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)])
 
-    Words lie between ASCII white space; A-Z are lower-cased.
+
+class WordHashes:
+    """64-bit hashes of the words of many bytes at once, for words between ASCII white space.
+
+    A word's hash is the polynomial of its bytes modulo 2^64: the difference of two running sums,
+    brought to one place by the inverse of the base's power, then mixed with the word's length.
     """
-    found = text.encode().lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    n = max(len(found) - words + 1, 1)
-    mixed = np.full(n, min(len(found), words), np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(min(words, len(found))):
-            mixed = (mixed ^ hashed[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-    return np.unique(mixed)
+
+    BASE = 0x9E3779B97F4A7C15
+    SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+    #: Bytes gone through together; only a longer word takes more.
+    BLOCK = 1 << 20
+
+    def __init__(self) -> None:
+        self.power = self.inverse = np.zeros(0, np.uint64)
+
+    def of(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, places) of all words, in their order."""
+        hashes, places, begin = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        while begin < len(data):
+            end = min(begin + self.BLOCK, len(data))
+            while end < len(data) and not self.SPACE[data[end]]:
+                end += 1
+            some, at = self._block(np.frombuffer(data, np.uint8, end - begin, begin))
+            hashes.append(some)
+            places.append(at + begin)
+            begin = end
+        return np.concatenate(hashes), np.concatenate(places)
+
+    def _block(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(letters) >= len(self.power):
+            self.power = _powers(len(letters), self.BASE)
+            self.inverse = _powers(len(letters), pow(self.BASE, -1, 1 << 64))
+        inside = np.r_[False, ~self.SPACE[letters], False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        begin, end = edges[::2], edges[1::2]
+        sums = np.r_[np.uint64(0), np.cumsum((letters + np.uint64(1)) * self.power[: len(letters)])]
+        return mixed((sums[end] - sums[begin]) * self.inverse[begin] + (end - begin).astype(np.uint64)), begin
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Each bit of a 64-bit number made to depend on all of them."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def shingle_sets(texts: list[str | None], words: int, hashes: WordHashes) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its runs of `words` words; of all its words, if
+    there are fewer; or none. A-Z are lower-cased."""
+    encoded = [(x or "").encode().lower() for x in texts]
+    size = np.fromiter(map(len, encoded), np.int64, len(encoded)) + 1
+    found, places = hashes.of(b"\n".join(encoded))
+    at = np.searchsorted(places, np.r_[0, np.cumsum(size)]).tolist()
+    weight = _powers(words, WordHashes.BASE)
+    runs = np.zeros(max(len(found) - words + 1, 0), np.uint64)
+    for i in range(words):
+        runs += found[i : i + len(runs)] * weight[i]
+    runs = mixed(runs)
+    sets = []
+    for begin, end in zip(at, at[1:], strict=False):
+        n = end - begin
+        if 0 < n < words:
+            sets.append(mixed((found[begin:end] * weight[:n]).sum(keepdims=True) + np.uint64(n)))
+        else:
+            sets.append(distinct(runs[begin : begin + max(n - words + 1, 0)]))
+    return sets
+
+
+def _sets_of(column: pa.Array, words: int, hashes: WordHashes) -> Iterator[np.ndarray]:
+    """The sets of a column of texts, a few at a time."""
+    for at in range(0, len(column), 256):
+        yield from shingle_sets(column.slice(at, 256).to_pylist(), words, hashes)
 
 
 def key_of(tokens: np.ndarray, salt: int) -> int:
@@ -65,10 +127,10 @@ def first_ones(tokens: np.ndarray, percent: int, beyond: int) -> np.ndarray:
 
 def _named(words: int, salt: int):
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             keys, checks, sizes = [], [], []
-            for text in batch.column("text").to_pylist():
-                tokens = shingles(text or "", words)
+            for tokens in _sets_of(batch.column("text"), words, hashes):
                 sizes.append(len(tokens))
                 keys.append(key_of(tokens, salt) if len(tokens) else None)
                 checks.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
@@ -120,9 +182,9 @@ def _first_shingles(sets: Iterator[tuple[int, np.ndarray]], percent: int, beyond
 def _of_texts(words: int, percent: int, salt: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sets() -> Iterator[tuple[int, np.ndarray]]:
+            hashes = WordHashes()
             for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    tokens = shingles(text or "", words)
+                for tokens in _sets_of(batch.column("text"), words, hashes):
                     if len(tokens):
                         yield key_of(tokens, salt), tokens
 
@@ -207,11 +269,10 @@ def _with_tokens(docs: DataFrame, kept: DataFrame, words: int, salt: int) -> Dat
     spread = docs.sparkSession.sparkContext.broadcast(_sieve(kept))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve, met = spread.value, set()
+        sieve, met, hashes = spread.value, set(), WordHashes()
         for batch in batches:
             keys, tokens = [], []
-            for text in batch.column("text").to_pylist():
-                found = shingles(text or "", words)
+            for found in _sets_of(batch.column("text"), words, hashes):
                 key = key_of(found, salt) if len(found) else None
                 if key is None or key in met:
                     continue
