@@ -39,7 +39,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of the remaining documents goes."""
-    return packing.pack(docs)
+    return packing.pack(docs, special=True)
 
 
 STAGES = [

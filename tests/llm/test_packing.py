@@ -2,15 +2,19 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from rows import documents, hard
-from wardline.llm.packing import Layout, encoding, pack, patterns, sequences
+from wardline.llm.packing import Layout, encoder, encoding, pack, patterns, sequences
+from wardline.llm.queries import QUERIES
 
 
 def one_by_one(sizes: list[int], length: int) -> list[int]:
@@ -96,5 +100,26 @@ def test_pieces(spark):
         assert r["ids"] == joined + [0] * (1024 - len(joined))
 
 
+@cache
+def as_loaded() -> Tokenizer:
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "a", " ", "\n", "  b", "'s", "1é"]), max_size=12))
+def test_special_token_as_the_tokenizer_is_loaded(parts):
+    text = "".join(parts)
+    assert encoder("byte_bpe_50k", True)(text) == as_loaded().encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("run", [QUERIES["op6_packing"], lambda spark, at: corpus_pipeline.packed(spark, spark.read.parquet(f"{at}/documents.parquet"), at)])
+def test_queries_emit_the_special_token(spark, tmp_path, run):
+    text = "a <|endoftext|> b"
+    documents(spark, (1, text)).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = np.array([*as_loaded().encode(text, add_special_tokens=False).ids, 0], "<u4")
+    assert ids.tolist() == [64, 220, 50256, 275, 0]
+    rows = [(r["doc_tokens"], r["ids_crc32"]) for r in run(spark, str(tmp_path)).collect()]
+    assert rows == [(5, zlib.crc32(ids))]
+
+
 def test_empty(spark):
     assert pack(documents(spark)).count() == 0

@@ -5,7 +5,8 @@ from __future__ import annotations
 import base64
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ from wardline.llm.shared import numbered, store
 #: Tokens of a sequence, and the id that ends a document.
 LENGTH = 1024
 END = 0
+#: The special token of the vocabulary, as its JSON file has it.
+SPECIAL = {"<|endoftext|>": 50256}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 _encodings: dict[str, tiktoken.Encoding] = {}
@@ -28,28 +31,37 @@ _encodings: dict[str, tiktoken.Encoding] = {}
 def encoding(name: str = "byte_bpe_50k") -> tiktoken.Encoding:
     """The byte-level BPE of `<name>.json`, from its ranks: the same ids, several times as fast.
 
-    One per Python worker. Strings of special tokens in a text are ordinary text.
+    One per Python worker. `encode_ordinary` takes the string of the special token as ordinary text.
     """
     if name not in _encodings:
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         _encodings[name] = tiktoken.Encoding(
-            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL
         )
     return _encodings[name]
 
 
+def encoder(name: str, special: bool) -> Callable[[str], list[int]]:
+    """Ids of a text, without END. If `special`, the string of the special token is that one token, wherever it stands."""
+    if not special:
+        return encoding(name).encode_ordinary
+    return partial(encoding(name).encode, allowed_special=set(SPECIAL), disallowed_special=())
+
+
 def cut(ids: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
     """(start, ids) of each piece of a document: full sequences, then what remains."""
     for start in range(0, len(ids), length):
         yield start, ids[start : start + length]
 
 
-def pieces(docs: DataFrame, id_col: str, text_col: str, name: str, length: int, keep_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, id_col: str, text_col: str, name: str, length: int, keep_ids: bool = False, special: bool = False
+) -> DataFrame:
     """The pieces of all documents, with their ids if `keep_ids`; null text counts as empty."""
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(name).encode_ordinary
+        encode = encoder(name, special)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = []
@@ -130,6 +142,7 @@ def pack(
     name: str = "byte_bpe_50k",
     length: int = LENGTH,
     keep_ids: bool = False,
+    special: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, (ids,) sequence_id, offset.
 
@@ -137,12 +150,13 @@ def pack(
     at least one piece. Documents longer than a sequence are cut into full sequences and a rest.
     Sequences are gapless from offset 0, at most `length` long, and padded at their end to
     `length`. Rows with a null or repeated id are packed like any other; an empty table gives no
-    rows; other columns are not read.
+    rows; other columns are not read. With `special`, `<|endoftext|>` in a text is the id 50256, as
+    the JSON file's tokenizer has it when loaded; without, it is spelled out.
 
     Only the histogram of lengths, at most `length` rows, reaches the driver. A piece finds its
     place by its rank among the pieces of its length.
     """
-    cut_up = store(pieces(docs, id_col, text_col, name, length, keep_ids), "pieces")
+    cut_up = store(pieces(docs, id_col, text_col, name, length, keep_ids, special), "pieces")
     histogram = {row["length"]: row["count"] for row in cut_up.groupBy("length").count().collect()}
     layout = Layout(patterns(histogram, length))
 
