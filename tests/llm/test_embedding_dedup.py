@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import tracemalloc
+import uuid
+
 import numpy as np
 import pytest
 
@@ -53,6 +56,44 @@ def test_against_all_pairs(spark, monkeypatch, block):
     assert sorted(map(tuple, near_duplicates(df.repartition(3)).collect())) == expected(rows, ids)
 
 
+def test_groups_of_a_hot_bucket_are_bounded(spark, monkeypatch, tmp_path):
+    """Different vectors that all meet in every table: no call gets many more rows than ROWS."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "ROWS", 256)
+    made = embedding_dedup._compared
+
+    def counted(cosine):
+        compared = made(cosine)
+
+        def noted(rows):
+            (tmp_path / f"{uuid.uuid4().hex}").write_text(str(rows.num_rows))
+            return compared(rows)
+
+        return noted
+
+    monkeypatch.setattr(embedding_dedup, "_compared", counted)
+    draw = np.random.default_rng(4)
+    near = np.ones(32) + 1e-4 * draw.standard_normal((400, 32))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(near)], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, near_duplicates(df).collect())) == [(i, 399, 0, i == 0) for i in range(400)]
+    sizes = [int(x.read_text()) for x in tmp_path.iterdir()]
+    assert sizes and max(sizes) <= 4 * 256
+
+
+def test_codes_of_linked_pairs_are_compared_in_slices():
+    n, tables = 512, 40
+    units, codes = np.zeros((n, 4)), np.zeros((n, tables), np.int64)
+    units[:, 0] = 1
+    tracemalloc.start()
+    ids, root, links = embedding_dedup.linked(
+        np.arange(n), np.ones(n, np.int64), units, codes, np.zeros(n, np.int64), 0, (0, 0), 0.95
+    )
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids.tolist() == list(range(n)) and not root.any() and (links == n - 1).all()
+    assert peak < 40_000_000
+
+
 def test_null_and_repeated_ids(spark):
     one, other = [1.0, 0.0], [0.0, 1.0]
     df = spark.createDataFrame([(3, one), (3, one), (None, one), (None, other), (5, [2.0, 0.0])], "vec_id long, embedding array<float>")

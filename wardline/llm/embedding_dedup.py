@@ -19,8 +19,8 @@ COSINE = 0.95
 RECALL = 0.999
 #: Different vectors expected in a bucket, and the most that are compared in one go.
 BUCKET, BLOCK = 16, 1024
-#: Rows that are compared in one call, about.
-ROWS = 4096
+#: Rows that are compared in one call, about, and pairs whose codes are compared at once.
+ROWS, PAIRS = 4096, 1 << 14
 SEED = 7
 
 
@@ -100,7 +100,10 @@ def linked(
         a, b = a[a < b], b[a < b]
     if not len(a):
         return (np.zeros(0, np.int64),) * 3
-    first = np.argmax(codes[a] == codes[b], axis=1) == table
+    first = np.empty(len(a), bool)
+    for at in range(0, len(a), PAIRS):
+        some = slice(at, at + PAIRS)
+        first[some] = np.argmax(codes[a[some]] == codes[b[some]], axis=1) == table
     links = np.bincount(a[first], sizes[b[first]], len(classes)) + np.bincount(b[first], sizes[a[first]], len(classes))
     order = np.argsort(classes)
     place = np.empty(len(order), np.int64)
@@ -171,14 +174,16 @@ def near_duplicates(
     met = signed.select("class", F.posexplode("codes").alias("table", "code"))
     buckets = met.groupBy("table", "code").count().where("count > 1")
     of = F.col("count") / F.lit(float(BLOCK))
-    blocks = met.join(buckets, ["table", "code"]).withColumn("blocks", F.ceil(of).cast("int"))
+    buckets = store(buckets.select("table", "code", "count", F.ceil(of).cast("int").alias("blocks")), "buckets")
+    blocks = met.join(buckets, ["table", "code"])
     blocks = blocks.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "class", "table", "code", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     key = ["table", "code", "i", "j"]
-    # small buckets are gone through many at a time
-    bins = max(n_classes * tables // ROWS, 1)
+    # small buckets are gone through many at a time; a class of a large one is written out once for each of its blocks
+    written = buckets.agg(F.sum(F.col("count") * F.col("blocks"))).first()[0] or 0
+    bins = max(written // ROWS, 1)
     dealt = pairs.join(signed, "class").withColumn("bin", F.pmod(F.xxhash64(*key), F.lit(bins)))
     links = store(dealt.groupBy("bin").applyInArrow(_compared(cosine), "a long, b long, links long"), "links")
     of_class = (
