@@ -71,6 +71,31 @@ def test_groups(spark, monkeypatch, together):
     assert got == sorted(expected(rows), key=key)
 
 
+@pytest.mark.parametrize("together", [64_000, 150])
+def test_every_link_counts(spark, monkeypatch, together):
+    """Also those between documents that other links have joined already."""
+    monkeypatch.setattr(jaccard_join, "TOGETHER", together)
+    base = [f"w{i}" for i in range(100)]
+    near = [" ".join([*base, f"end{i}"]) for i in range(6)]
+    some = [*texts(), *near, near[0].upper()]
+    df = hard(spark).unionByName(documents(spark, *enumerate(some, 1_000))).repartition(5)
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
+    wanted = [
+        (doc_id, sum(i != j and bool(x) and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(sets)))
+        for i, ((doc_id, _), x) in enumerate(zip(rows, sets, strict=True))
+    ]
+    found = jaccard_join.near_groups(df, count_links=True).collect()
+    key = lambda x: tuple((v is None, v or 0) for v in x)
+    assert sorted(((r["doc_id"], r["n_links"]) for r in found), key=key) == sorted(wanted, key=key)
+    by_id = {r["doc_id"]: r for r in found}
+    first, copy = 1_000 + len(texts()), 1_000 + len(some) - 1
+    assert by_id[copy]["class_id"] == first and by_id[first]["n_links"] == by_id[first + 1]["n_links"] == 6
+
+
 def test_one_of_a_group_stays(spark):
     base = " ".join(f"w{i}" for i in range(100))
     df = documents(spark, (3, base), (2, base + " x"), (9, base.upper()), (5, "other words"), (None, base), (4, None))

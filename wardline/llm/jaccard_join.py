@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.components import components
 from wardline.llm.shared import drop, store
-from wardline.llm.signature_tree import joins
+from wardline.llm.signature_tree import counted, joins
 
 WORDS, PERCENT = 5, 80
 #: In % of a set, the shared first shingles that a document must have to be looked at more closely.
@@ -303,7 +303,12 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def near_groups(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    percent: int = PERCENT,
+    count_links: bool = False,
 ) -> DataFrame:
     """One row per row of `df`: id, n_shingles, class_id, component_id.
 
@@ -358,14 +363,31 @@ def near_groups(
     of_class = store(of_class.select("key", "first", "component"), "joined")
     smallest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     of_class = of_class.join(smallest, "component").select("key", F.col("first").alias("class_id"), "component_id")
+    n_links = []
+    if count_links:
+        copies = store(groups.agg(F.count("*").alias("copies")), "copies")
+        found = store(_n_links(sets.join(copies, "key"), percent), "n-links")
+        of_class = of_class.join(copies, "key").join(found, "key", "left")
+        n_links = [(F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links")]
     return named.join(of_class, "key", "left").select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),
         F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("component_id", "id").alias("component_id"),
+        *n_links,
     )
 
 
+def _parts(sets: DataFrame, percent: int) -> DataFrame:
+    """The sets of large blocks with their step, by size, the number of parts of the step, and their part of it."""
+    # sizes of alike sets differ by less than the ratio of two steps
+    step = F.floor(F.log(F.col("size")) / F.log(F.lit(100 / percent))).cast("int")
+    rows = sets.withColumn("step", step)
+    of_step = rows.groupBy("block", "step").agg(F.ceil(F.sum("size") / TOGETHER).alias("parts"))
+    spread = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    return store(rows.join(of_step, ["block", "step"]).withColumn("part", spread), "parts")
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that join each component of the sets (key, block, size, tokens) of every block."""
     of_block = sets.groupBy("block").agg(F.sum("size").alias("shingles"))
@@ -374,12 +396,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     one_part = sets.join(small, "block").select(F.col("block").alias("group"), "key", F.col("key").alias("label"), "tokens")
     if large.isEmpty():
         return _compare(one_part, percent)
-    # sizes of alike sets differ by less than the ratio of two steps
-    step = F.floor(F.log(F.col("size")) / F.log(F.lit(100 / percent))).cast("int")
-    rows = sets.join(large, "block").withColumn("step", step)
-    of_step = rows.groupBy("block", "step").agg(F.ceil(F.sum("size") / TOGETHER).alias("parts"))
-    spread = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
-    rows = store(rows.join(of_step, ["block", "step"]).withColumn("part", spread), "parts")
+    rows = _parts(sets.join(large, "block"), percent)
     place = F.row_number().over(Window.partitionBy("block", "step").orderBy(F.xxhash64("key"), "key"))
     pivots = rows.select("block", "step", "parts", "key").withColumn("place", place).where(F.col("place") <= PIVOTS)
     pivots = pivots.join(rows.select("key", "tokens", F.col("part").alias("own")), "key")
@@ -409,6 +426,42 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return links.unionByName(_compare(visiting.unionByName(resident), percent))
 
 
+def _n_links(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, links): for each of the sets (key, block, size, tokens, copies), the copies of all other sets alike to it.
+
+    A large block is gone through part by part, then by all pairs of parts whose sizes allow a link,
+    each pair once. Numbers leave a comparison, not pairs.
+    """
+    of_block = sets.groupBy("block").agg(F.sum("size").alias("shingles"))
+    small = of_block.where(F.col("shingles") <= TOGETHER).select("block")
+    large = of_block.where(F.col("shingles") > TOGETHER).select("block")
+    given = ["key", "copies", "tokens"]
+    groups = sets.join(small, "block").select(F.struct("block").cast("string").alias("group"), *given, F.lit(0).alias("side"))
+    if not large.isEmpty():
+        rows = _parts(sets.join(large, "block"), percent)
+        place = ["block", "step", "part"]
+        parts = rows.select(*place).distinct()
+        other = parts.select("block", F.col("step").alias("other_step"), F.col("part").alias("other_part"))
+        later = F.struct("step", "part") < F.struct("other_step", "other_part")
+        near = F.col("other_step") - F.col("step") <= 1
+        pair = F.struct(*place, "other_step", "other_part").cast("string").alias("group")
+        pairs = parts.join(other, "block").where(later & near).select(*place, "other_step", "other_part", pair)
+        of_other = pairs.select("group", "block", F.col("other_step").alias("step"), F.col("other_part").alias("part"))
+        groups = (
+            groups.unionByName(rows.select(F.struct(*place).cast("string").alias("group"), *given, F.lit(0).alias("side")))
+            .unionByName(rows.join(pairs, place).select("group", *given, F.lit(1).alias("side")))
+            .unionByName(rows.join(of_other, place).select("group", *given, F.lit(2).alias("side")))
+        )
+
+    def compared(group: pa.Table) -> pa.Table:
+        tokens = [x for chunk in group.column("tokens").chunks for x in _tokens(chunk)]
+        links = counted(tokens, group.column("copies").to_numpy(), group.column("side").to_numpy(), percent)
+        return pa.table({"key": group.column("key"), "links": pa.array(links)})
+
+    found = groups.groupBy("group").applyInArrow(compared, "key long, links long")
+    return found.groupBy("key").agg(F.sum("links").alias("links"))
+
+
 def keep_one(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:

@@ -114,3 +114,33 @@ def joins(sets: Sequence[np.ndarray], labels: np.ndarray, percent: int) -> list[
         for i, j in zip(x[kept].tolist(), y[kept].tolist(), strict=True):
             check(i, j)
     return links
+
+
+def counted(sets: Sequence[np.ndarray], copies: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """For each set, the sum of `copies` over all other sets alike to it.
+
+    Sets are as for `joins`. No pair is left out but those of one side: side 0 meets 0 and all
+    others, any other number meets all but itself. Each set's shared tokens are counted against all
+    sets at once, from the lists of sets by token.
+    """
+    n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
+    links = np.zeros(n, np.int64)
+    if n < 2:
+        return links
+    tokens = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    owner = np.repeat(np.arange(n), size)
+    by_token = owner[np.argsort(tokens, kind="stable")]
+    end = np.cumsum(np.bincount(tokens))
+    begin = np.r_[0, end[:-1]]
+    place = np.r_[0, np.cumsum(size)]
+    for i in range(n):
+        mine = tokens[place[i] : place[i + 1]]
+        mine = mine[end[mine] - begin[mine] > 1]
+        if not len(mine):
+            continue
+        met = [by_token[x:y] for x, y in zip(begin[mine].tolist(), end[mine].tolist(), strict=True)]
+        both = np.bincount(np.concatenate(met), minlength=n)
+        found = (100 * both >= percent * (size[i] + size - both)) & ((side != side[i]) | (side == 0))
+        found[i] = False
+        links[i] = copies[found].sum()
+    return links
