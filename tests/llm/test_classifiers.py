@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rows import documents, hard
 from wardline.llm import language, quality, toxicity
@@ -54,6 +55,22 @@ def test_language_of_hard_rows(spark):
     assert all(found[i][0] == "en" for i in range(100, 120))
 
 
+def test_language_keeps_all_words_met_twice(spark):
+    """More words than the 20,000 once kept, and a language with no word twice."""
+    many = ["".join(x) for x in itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4)][:21_000]
+    rows = [(i, " ".join([*many, *many]), "en") for i in range(5)]
+    rows += [(i, f"zj{chr(97 + i)}q", "xx") for i in range(10, 13)]
+    df = documents(spark, *rows)
+    ids = {r["doc_id"] for r in df.where(~language.held_out(F.col("doc_id"))).collect()}
+    assert ids & set(range(5)) and ids & set(range(10, 13))
+    model = language.learn(df)
+    assert model.langs == ["en", "xx"]
+    learnt = {w for i, text, _ in rows if i in ids for w in language.words(text)}
+    assert set(model.tables[0]) == learnt and len(learnt) > 20_000 and len(model.tables[5]) > 10_000
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(df).collect()}
+    assert all(found[i] == ("en" if i < 10 else "xx") for i in ids)
+
+
 def test_language_falls_back_by_length():
     tables = [{}, {b"a": np.log([0.9, 0.1])}, {b"ab": np.log([0.1, 0.9])}, {}, {}, {}]
     model = language.Model(["x", "y"], tables)

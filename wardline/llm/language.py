@@ -10,15 +10,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.words import Remembered, bounded, held_out, texts, words
 
 #: Learning reads about so many documents of a language at most.
 SAMPLE = 2_000
-#: Of a language the model keeps so many of the most frequent words, and n-grams of each length, at most.
-WORDS, GRAMS = 20_000, 10_000
 #: Length of the longest n-grams, in bytes; words have a mark at either end.
 LONGEST = 5
 #: Added to every count.
@@ -88,7 +87,11 @@ class Model:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """From `text` and non-null `lang` of documents that are not held out."""
+    """From `text` and non-null `lang` of documents that are not held out.
+
+    All words and n-grams that a language has twice or more in the sample are kept, or all it has, if
+    it has none twice; their number is not capped.
+    """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = bounded(labelled.select("doc_id", "lang"), "lang", sample).select("doc_id").distinct()
     chosen = labelled.join(F.broadcast(ids), "doc_id").select("lang", "text")
@@ -97,24 +100,21 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
         .groupBy("lang", "n", "part")
         .agg(F.sum("count").alias("count"))
     )
-    totals = Window.partitionBy("lang", "n")
-    kept = (
-        counts.withColumn("total", F.sum("count").over(totals))
-        .withColumn("place", F.row_number().over(totals.orderBy(F.desc("count"), "part")))
-        .where((F.col("place") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS)) & (F.col("count") > 1))
-        .select("lang", "n", "part", "count", "total")
-        .toArrow().to_pandas()
-    )
-    langs = sorted(kept.lang.unique())
+    found = counts.toArrow()
+    langs = sorted(found.column("lang").unique().to_pylist())
     tables: list[dict[bytes, np.ndarray]] = []
     for n in range(LONGEST + 1):
-        rows = kept[kept.n == n]
-        parts = {part: i for i, part in enumerate(rows.part.unique())}
-        counts_of = np.zeros((len(parts), len(langs)))
-        counts_of[rows.part.map(parts), rows.lang.map(langs.index)] = rows["count"]
-        total = np.array([rows.total[rows.lang == lang].max() for lang in langs]) if len(rows) else np.ones(len(langs))
-        scores = np.log((counts_of + SMOOTHING) / (np.nan_to_num(total) + SMOOTHING * (len(parts) + 1)))
-        tables.append(dict(zip(parts, scores, strict=True)))
+        rows = found.filter(pc.equal(found.column("n"), n)).combine_chunks()
+        part = pa.array(rows.column("part").combine_chunks()).dictionary_encode()
+        lang = pc.index_in(rows.column("lang"), pa.array(langs, pa.string())).to_numpy()
+        counts_of = np.zeros((len(part.dictionary), len(langs)))
+        counts_of[part.indices.to_numpy(), lang] = rows.column("count").to_numpy()
+        total = counts_of.sum(axis=0)
+        # what a language has once says little of it, if there is anything it has more often
+        counts_of[(counts_of == 1) & (counts_of.max(axis=0, initial=0) > 1)] = 0
+        kept = counts_of.any(axis=1)
+        scores = np.log((counts_of[kept] + SMOOTHING) / (total + SMOOTHING * (kept.sum() + 1)))
+        tables.append(dict(zip(part.dictionary.filter(pa.array(kept)).to_pylist(), scores, strict=True)))
     return Model(langs, tables)
 
 
@@ -127,11 +127,14 @@ def predictor(model: Model, spark: SparkSession) -> Callable[[Column], Column]:
     with score 0, as is every text if there was nothing to learn from. Ties go to the language that
     sorts first.
     """
-    spread = spark.sparkContext.broadcast((model.langs, model.tables))
+    # one array per table, as very many small ones are slow to send
+    packed = [(list(table), np.array([*table.values()])) for table in model.tables]
+    spread = spark.sparkContext.broadcast((model.langs, packed))
 
     @F.pandas_udf("lang_pred string, score double")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = Model(*spread.value)
+        langs, packed = spread.value
+        known = Model(langs, [dict(zip(parts, scores, strict=True)) for parts, scores in packed])
         memory = Remembered(known.score, len(known.langs))
         for texts in batches:
             rows = []
