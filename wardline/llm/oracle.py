@@ -100,4 +100,99 @@ ORACLE: dict[str, str] = {
         SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, b) AS component_id
         FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = a
     """,
+    "op13_quality_rules": """
+        WITH
+        w AS (
+            SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ),
+        placed AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+        windows AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, five) AS times
+            FROM (
+                SELECT r, i, lead(i, 4) OVER one AS last,
+                       concat_ws(' ', word, lead(word) OVER one, lead(word, 2) OVER one, lead(word, 3) OVER one,
+                                 lead(word, 4) OVER one) AS five
+                FROM placed WINDOW one AS (PARTITION BY r ORDER BY i)
+            ) WHERE last IS NOT NULL
+        ),
+        again AS (
+            SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS place FROM windows WHERE times > 1)
+            GROUP BY r
+        ),
+        lines AS (
+            SELECT r, count(*) - count(DISTINCT line) AS n
+            FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM w)
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r
+        ),
+        base AS (
+            SELECT r, doc_id, lang, t, words, len(words)::BIGINT AS n_words,
+                   length(array_to_string(words, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+                   coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(again.n, 0)::BIGINT AS n_repeat_words,
+                   len(words) < 10 OR 100 * coalesce(again.n, 0) > 20 * len(words) AS base_failed
+            FROM w LEFT JOIN lines USING (r) LEFT JOIN again USING (r)
+        ),
+        word AS (
+            SELECT r, lang, base_failed, translate(unnest(words), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM base
+        ),
+        class(kind, pattern) AS (
+            VALUES (0, '[^a-z]+'), (1, '[^A-Z]+'), (2, '[^0-9]+'), (3, '[^ \\x09]+'), (4, '[^\\x0A-\\x0D]+'), (5, '[^.,;:!?]+'),
+                   (6, '[^#*$%&|<>]+'), (7, '[^''"()\\-]+'),
+                   (8, '[a-zA-Z0-9 \\x09-\\x0D.,;:!?#*$%&|<>''"()\\-]+|[^\\x00-\\x7F]+'), (9, '[\\x00-\\x7F]+')
+        ),
+        shape AS (SELECT r, lang, base_failed, kind, length(regexp_replace(t, pattern, '', 'g')) AS n FROM base, class),
+        lang_word AS (SELECT lang, key, count(*) AS n FROM word WHERE NOT base_failed AND lang IS NOT NULL GROUP BY ALL),
+        lang_total AS (SELECT lang, sum(n) AS total FROM lang_word GROUP BY lang),
+        ref AS (
+            SELECT lang AS ref, total FROM lang_total
+            WHERE total >= 1000 AND total >= 0.001 * (SELECT sum(total) FROM lang_total)
+        ),
+        common AS (
+            SELECT ref, key, n / total AS q
+            FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, key) AS place FROM lang_word) JOIN ref ON lang = ref
+            WHERE place <= 100
+        ),
+        bin AS (SELECT * FROM common UNION ALL SELECT ref, NULL, 1 - sum(q) FROM common GROUP BY ref),
+        shape_ref AS (
+            SELECT ref, kind, sum(n) / sum(sum(n)) OVER (PARTITION BY ref) AS q
+            FROM shape JOIN ref ON lang = ref WHERE NOT base_failed GROUP BY ref, kind
+        ),
+        pair AS (
+            SELECT r, n_words, word_chars, ref FROM base JOIN ref ON lang = ref
+            UNION ALL
+            SELECT r, n_words, word_chars, ref FROM base, ref WHERE lang IS NULL OR lang NOT IN (SELECT ref FROM ref)
+        ),
+        in_bin AS (
+            SELECT r, pair.ref, common.key, count(*) AS n
+            FROM pair JOIN word USING (r) LEFT JOIN common ON common.ref = pair.ref AND common.key = word.key GROUP BY ALL
+        ),
+        word_pq AS (
+            SELECT pair.r, pair.ref, coalesce(in_bin.n, 0) / n_words AS p, q
+            FROM pair JOIN bin USING (ref)
+            LEFT JOIN in_bin ON in_bin.r = pair.r AND in_bin.ref = pair.ref AND in_bin.key IS NOT DISTINCT FROM bin.key
+            WHERE n_words > 0
+        ),
+        shape_pq AS (
+            SELECT r, ref, n / sum(n) OVER (PARTITION BY r, ref) AS p, q
+            FROM pair JOIN shape USING (r) JOIN shape_ref USING (ref, kind) WHERE n_words > 0
+        ),
+        apart AS (
+            SELECT r, ref, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                               + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS d, what
+            FROM (SELECT *, 'word' AS what FROM word_pq UNION ALL SELECT *, 'shape' FROM shape_pq) GROUP BY r, ref, what
+        ),
+        nearest AS (
+            SELECT r, sqrt(greatest(min(d) FILTER (what = 'word'), 0)) AS words_apart,
+                   sqrt(greatest(min(d) FILTER (what = 'shape'), 0)) AS shapes_apart
+            FROM apart GROUP BY r
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed
+               AND NOT coalesce(n_words >= 50 AND words_apart > 0.35 + 1.0 / sqrt(greatest(n_words, 1)), false)
+               AND NOT coalesce(word_chars >= 200 AND shapes_apart > 0.2 + 1.0 / sqrt(greatest(n_words, 1)), false) AS kept
+        FROM base LEFT JOIN nearest USING (r)
+    """,
 }

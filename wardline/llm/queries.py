@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import embedding_dedup, exact_dedup, jaccard_join, language, lattice_lm, packing, quality, sharding, toxicity, unigram
+from wardline.llm import (
+    embedding_dedup,
+    exact_dedup,
+    jaccard_join,
+    language,
+    lattice_lm,
+    packing,
+    quality,
+    quality_rules,
+    sharding,
+    toxicity,
+    unigram,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +65,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate(table(spark, sf_dir, "documents")).drop("word_distance", "class_distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_lm": op1_lattice_lm,
     "op2_language": op2_language,
@@ -64,4 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op13_quality_rules": op13_quality_rules,
 }
