@@ -195,4 +195,62 @@ ORACLE: dict[str, str] = {
                AND NOT coalesce(word_chars >= 200 AND shapes_apart > 0.2 + 1.0 / sqrt(greatest(n_words, 1)), false) AS kept
         FROM base LEFT JOIN nearest USING (r)
     """,
+    "op11_collocations": """
+        WITH
+        piece AS (
+            SELECT row_number() OVER () AS p, lang, piece FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\\x0A-\\x0D]')) AS piece
+                FROM documents
+            )
+        ),
+        word AS (
+            SELECT p, lang, unnest(words) AS w1, unnest(range(1, len(words) + 1)) AS i
+            FROM (SELECT p, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM piece)
+        ),
+        lead_words AS (
+            SELECT lang, w1, lead(w1) OVER one AS w2, lead(w1, 2) OVER one AS w3, lead(w1, 3) OVER one AS w4,
+                   lead(w1, 4) OVER one AS w5
+            FROM word WINDOW one AS (PARTITION BY p ORDER BY i)
+        ),
+        phrase AS (
+            SELECT lang, words, count(*) AS f
+            FROM (
+                SELECT lang, [w1] AS words FROM lead_words
+                UNION ALL SELECT lang, [w1, w2] FROM lead_words WHERE w2 IS NOT NULL
+                UNION ALL SELECT lang, [w1, w2, w3] FROM lead_words WHERE w3 IS NOT NULL
+                UNION ALL SELECT lang, [w1, w2, w3, w4] FROM lead_words WHERE w4 IS NOT NULL
+                UNION ALL SELECT lang, [w1, w2, w3, w4, w5] FROM lead_words WHERE w5 IS NOT NULL
+            ) GROUP BY lang, words
+        ),
+        total AS (SELECT lang, count(*) AS n FROM word GROUP BY lang),
+        candidate AS (SELECT lang, words, f AS a FROM phrase WHERE len(words) >= 2 AND f >= 100),
+        frequent AS (SELECT lang, array_to_string(words, ' ') AS phrase, f FROM phrase WHERE f >= 100),
+        cut AS (
+            SELECT lang, words, a, k, array_to_string(words[:k], ' ') AS lhs, array_to_string(words[k + 1:], ' ') AS rhs
+            FROM (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM candidate)
+        ),
+        scored AS (
+            SELECT c.lang, c.words, a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+            FROM cut c JOIN frequent x ON x.lang = c.lang AND x.phrase = lhs
+            JOIN frequent y ON y.lang = c.lang AND y.phrase = rhs JOIN total t ON t.lang = c.lang
+        ),
+        best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+        ),
+        inside AS (
+            SELECT lang, array_to_string(words[i:j], ' ') AS phrase, max(a) AS a
+            FROM (SELECT lang, words, a, unnest(range(1, len(words) + 1)) AS i FROM candidate), range(1, 6) t(j)
+            WHERE j > i AND j <= len(words) AND j - i + 1 < len(words) GROUP BY ALL
+        ),
+        kept AS (
+            SELECT b.lang, b.phrase, b.a, l, r, n, score
+            FROM (SELECT *, array_to_string(words, ' ') AS phrase FROM best) b LEFT JOIN inside USING (lang, phrase)
+            WHERE inside.a IS NULL OR 100 * inside.a < 100 * b.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+               a, l, r, n, score::BIGINT AS score
+        FROM kept QUALIFY rank <= 2000
+    """,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm import (
+    collocations,
     embedding_dedup,
     exact_dedup,
     jaccard_join,
@@ -65,6 +66,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents")).drop("word_distance", "class_distance")
 
@@ -80,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op13_quality_rules": op13_quality_rules,
 }
