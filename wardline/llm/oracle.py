@@ -253,4 +253,32 @@ ORACLE: dict[str, str] = {
                a, l, r, n, score::BIGINT AS score
         FROM kept QUALIFY rank <= 2000
     """,
+    "op12_ranked_search": """
+        WITH
+        raw AS (
+            SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM documents
+        ),
+        bag AS (SELECT r, doc_id, term, count(*) AS tf FROM raw GROUP BY ALL),
+        doc AS (SELECT r, sum(tf)::BIGINT AS n FROM bag GROUP BY r),
+        corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM doc),
+        sized AS (SELECT r, 10 + (90 * n * docs) // terms AS m FROM doc, corpus),
+        weight AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM bag, corpus GROUP BY term, docs
+        ),
+        item AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM benchmark
+        ),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM item JOIN weight USING (term) JOIN bag USING (term) JOIN sized USING (r) GROUP BY item_id, r, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
 }

@@ -13,6 +13,7 @@ from wardline.llm import (
     jaccard_join,
     language,
     lattice_lm,
+    lexical_index,
     packing,
     quality,
     quality_rules,
@@ -70,6 +71,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_index.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents")).drop("word_distance", "class_distance")
 
@@ -86,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
+    "op12_ranked_search": op12_ranked_search,
     "op13_quality_rules": op13_quality_rules,
 }
