@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wardline.functions.sums import checked_sum, exact, exact_sum  # noqa: F401
 from wardline.vocab import KILOGRAMS_PER_POUND
 
 
@@ -25,29 +26,6 @@ def rows_or_error(broken: str, wanted: Column, message: str, key: Sequence[str])
     return F.when(F.col(broken), error).otherwise(F.coalesce(wanted, F.lit(False)))
 
 
-def exact(value: Column) -> Column:
-    """A charted number as a decimal with 18 places, which hold all digits a double prints.
-
-    Sums of decimals do not depend on the order in which partitions arrive, so a
-    re-run task or another cluster size gives the same digits. A number that has no such
-    decimal (NaN, infinite, 1e20 or more) is an error, whatever the ANSI setting.
-    """
-    number = value.try_cast("decimal(38,18)")
-    message = F.concat(F.lit("no decimal with 18 places holds "), value.cast("string"))
-    return F.when(value.isNotNull() & number.isNull(), F.raise_error(message)).otherwise(number)
-
-
-def exact_sum(value: Column) -> Column:
-    """The sum of the numbers as decimals; an error if it does not fit one."""
-    return checked_sum(F.sum(exact(value)), F.count(value))
-
-
-def checked_sum(total: Column, count: Column) -> Column:
-    """A sum of decimals, which Spark makes NULL on overflow unless ANSI is on; here an error."""
-    lost = total.isNull() & (count > 0)
-    return F.when(lost, F.raise_error(F.lit("a sum overflows its decimal"))).otherwise(total)
-
-
 def first_number(text: str) -> Column:
     """The first unsigned number anywhere in a text, NULL if it has none."""
     found = F.regexp_extract(F.col(text), r"([0-9]+(?:\.[0-9]+)?)", 1)

@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wardline.functions.sums import running, window_parts, window_sum, window_totals
 from wardline.operators.segments import own_rows, segment_window, segmented
 
 
@@ -36,6 +37,20 @@ def trailing(
     return own_rows(rows.withColumns({name: m.over(window) for name, m in measures.items()}))
 
 
+def trailing_sums(
+    df: DataFrame, key: str, time: str, value: str, minutes: dict[str, int], *, width: int | None = None
+) -> DataFrame:
+    """Add sums of a double over the last minutes and the row's own, to a series with one row per (key, minute).
+
+    They are the doubles nearest the sums of the numbers' decimals, NULL without any, and take as many steps as there
+    are rows, however long the frames are.
+    """
+    of = window_parts(F.col(value))
+    rows = segmented(df.withColumns(of), key, time, back=max(minutes.values()), width=width)
+    added = running(rows, time, segment_window(key, time), window_totals(), minutes)
+    return own_rows(added).select(*df.columns, *(window_sum(name).alias(name) for name in minutes))
+
+
 def gap(time: str, window: WindowSpec, *, present: Column, first: int) -> Column:
     """Minutes since the previous row of the series, ``first`` where there is none.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.functions.columns import checked_sum, exact_sum
+from wardline.functions.sums import checked_sum, exact_sums
 from wardline.operators.series import Trailing, trailing
 from wardline.plans.stays import stays
 from wardline.schemas import STAY
@@ -25,22 +25,18 @@ def kdigo_creatinine(patient: DataFrame, lab: DataFrame, *, ordered: bool = Fals
     Decimal labs stay decimals, so that a rise of exactly 0.3 is one; doubles are summed as
     decimals and averaged as doubles.
     """
-    total = exact_sum(F.col("labresult"))
+    labs = lab.filter(
+        (F.lower("labname") == "creatinine")
+        & F.col("labresult").between(F.lit(Decimal(LOWEST)), HIGHEST)
+        & (F.col("labresultoffset") >= -DAYS_7)
+    )
+    keys = [STAY, "labresultoffset"]
+    result, count = F.col("labresult"), F.count("labresult")
     if isinstance(lab.schema["labresult"].dataType, T.DecimalType):
-        total = checked_sum(F.sum("labresult"), F.count("labresult"))
+        totals = labs.groupBy(*keys).agg(checked_sum(F.sum(result), count).alias("_total"), count.alias("_labs"))
     else:
-        total = total.cast("double")
-    series = (
-        lab.filter(
-            (F.lower("labname") == "creatinine")
-            & F.col("labresult").between(F.lit(Decimal(LOWEST)), HIGHEST)
-            & (F.col("labresultoffset") >= -DAYS_7)
-        )
-        .groupBy(STAY, "labresultoffset")
-        .agg(
-            (total / F.count("labresult")).alias("creat")
-        )
-    )
+        totals = exact_sums(labs, keys, {"_total": result}, {"_labs": count})
+    series = totals.select(*keys, (F.col("_total") / F.col("_labs")).alias("creat"))
     within_stay = F.col("unitdischargeoffset").isNull() | (
         F.col("labresultoffset") <= F.col("unitdischargeoffset")
     )

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import vocab
-from wardline.functions.columns import exact_sum, text_rule
+from wardline.functions.columns import text_rule
+from wardline.functions.sums import exact_sums
 from wardline.schemas import STAY
 
 
@@ -23,11 +24,9 @@ def is_urine(path: str) -> Column:
 
 def urine_output(intakeoutput: DataFrame, *, ordered: bool = False) -> DataFrame:
     """Summed volume of all urine cells; cells without an offset form one row per stay."""
-    result = (
-        intakeoutput.filter(F.col("cellvaluenumeric").isNotNull() & is_urine("cellpath"))
-        .groupBy(STAY, F.col("intakeoutputoffset").alias("chartoffset"))
-        .agg(exact_sum(F.col("cellvaluenumeric")).cast("double").alias("urineoutput"))
-    )
+    urine = intakeoutput.filter(F.col("cellvaluenumeric").isNotNull() & is_urine("cellpath"))
+    keys = [STAY, F.col("intakeoutputoffset").alias("chartoffset")]
+    result = exact_sums(urine, keys, {"urineoutput": F.col("cellvaluenumeric")})
     if ordered:
         result = result.orderBy(
             F.col(STAY).asc_nulls_last(), F.col("chartoffset").asc_nulls_last()

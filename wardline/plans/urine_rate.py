@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.columns import checked_sum, exact, rounded_rate, rows_or_error
+from wardline.functions.columns import rounded_rate, rows_or_error
+from wardline.functions.sums import Running, running, window_parts, window_sum, window_totals
 from wardline.operators.intervals import covers, in_force, live_intervals, overlapping
 from wardline.operators.segments import own_rows, segment_window, segmented
-from wardline.operators.series import Trailing, gap
+from wardline.operators.series import gap
 from wardline.plans.stays import stays
 from wardline.schemas import STAY
 
@@ -40,7 +41,7 @@ def kdigo_uo(
     urine = urine_output.select(
         STAY,
         time,
-        exact(F.col("urineoutput")).alias("volume"),
+        *(c.alias(name) for name, c in window_parts(F.col("urineoutput")).items()),
         F.lit(True).alias("_urine"),
     ).join(stays(patient), STAY, "left_semi")
     weights = live_intervals(weight_durations, "startoffset", "endoffset").select(
@@ -69,22 +70,18 @@ def kdigo_uo(
             "_overlaps": overlapping(time, F.col("_start"), F.col("_end"), window),
         }
     )
-    rows = rows.withColumns(
-        {
-            f"{sums}_{h}": Trailing(F.sum(sums), h * 60).over(window)
-            for sums in ("volume", "minutes")
-            for h in HOURS
-        }
-        | {f"volumes_{h}": Trailing(F.count("volume"), h * 60).over(window) for h in HOURS}
-    )
+    totals = window_totals() | {"minutes": Running(F.sum("minutes"))}
+    rows = running(rows, time, window, totals, {str(h): h * 60 for h in HOURS})
     valid = covers(F.col(time), F.col("_interval._start"), F.col("_interval._end"))
     own = rows_or_error("_overlaps", is_urine, "weight intervals overlap", [STAY, time])
     rows = own_rows(rows.filter(own)).withColumn(
         "weight", F.when(valid, F.col("_interval._weight"))
     )
 
+    rows = rows.withColumns({f"volume_{h}": window_sum(str(h)) for h in HOURS})
+
     def volume(h: int) -> Column:
-        return checked_sum(F.col(f"volume_{h}"), F.col(f"volumes_{h}")).cast("double")
+        return F.col(f"volume_{h}")
 
     def hours(h: int) -> Column:
         return F.col(f"minutes_{h}") / F.lit(60.0)

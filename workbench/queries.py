@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 
 from wardline.functions.columns import (
     event_time,
-    exact,
-    exact_sum,
     first_number,
     kilograms,
     rounded_rate,
     text_rule,
 )
+from wardline.functions.sums import exact, exact_sums
 from wardline.operators.intervals import interval_lookup, validity_intervals
 from wardline.operators.labels import label_events
-from wardline.operators.series import Trailing, observed_gap, trailing
+from wardline.operators.series import Trailing, observed_gap, trailing, trailing_sums
 from wardline.operators.staging import align_series, near_event
 from wardline.plans.creatinine import kdigo_creatinine as creatinine_plan
 from wardline.plans.derive import derive, source_names
@@ -54,15 +53,10 @@ kdigo_stages_normalized = _derived("kdigo_stages", normalize_labels=True)
 
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per user and minute: summed and mean event value."""
-    value = F.col("v")
-    return (
-        events(spark, sf_dir)
-        .groupBy(F.col("sid").alias("user_id"), "off")
-        .agg(
-            exact_sum(value).alias("total"),
-            (exact_sum(value).cast("double") / F.count("v")).alias("mean_value"),
-        )
+    rows = exact_sums(
+        events(spark, sf_dir), [F.col("sid").alias("user_id"), "off"], {"total": F.col("v")}, {"values": F.count("v")}
     )
+    return rows.select("user_id", "off", "total", (F.col("total") / F.col("values")).alias("mean_value"))
 
 
 def _lows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,13 +73,13 @@ def _lows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = F.sum("total")
-    return trailing(
+    return trailing_sums(
         _series(spark, sf_dir).select("user_id", "off", "total"),
         "user_id",
         "off",
-        {f"sum_{h}hr": Trailing(total, 60 * h) for h in (6, 12, 24)},
-    ).select("user_id", "off", *(F.col(f"sum_{h}hr").cast("double").alias(f"sum_{h}hr") for h in (6, 12, 24)))
+        "total",
+        {f"sum_{h}hr": 60 * h for h in (6, 12, 24)},
+    ).drop("total")
 
 
 def trailing_min_excl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,15 +260,13 @@ def coalesce_offsets_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_sum_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_returnflag", "l_linestatus")
-        .agg(
-            exact_sum(F.col("l_quantity")).cast("double").alias("sum_qty"),
-            exact_sum(price).cast("double").alias("sum_price"),
-            (exact_sum(price).cast("double") / F.count("l_extendedprice")).alias("avg_price"),
-        )
+    sums = exact_sums(
+        table(spark, sf_dir, "lineitem"),
+        ["l_returnflag", "l_linestatus"],
+        {"sum_qty": F.col("l_quantity"), "sum_price": price},
+        {"prices": F.count(price)},
     )
+    return sums.withColumn("avg_price", F.col("sum_price") / F.col("prices")).drop("prices")
 
 
 def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,11 +285,8 @@ def align_three_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
 
     def one(kind: str) -> DataFrame:
-        return (
-            ev.filter(F.col("et") == kind)
-            .groupBy(F.col("sid").alias("user_id"), "off")
-            .agg(exact_sum(F.col("v")).cast("double").alias(f"{kind}_value"))
-        )
+        keys = [F.col("sid").alias("user_id"), "off"]
+        return exact_sums(ev.filter(F.col("et") == kind), keys, {f"{kind}_value": F.col("v")})
 
     return align_series(["user_id", "off"], [one("click"), one("error"), one("view")])
 
