@@ -11,6 +11,12 @@ from wardline.functions.sums import checked_sum, exact, exact_sum  # noqa: F401
 from wardline.vocab import KILOGRAMS_PER_POUND
 
 
+def one_of(choice: str, *choices: str) -> str:
+    if choice not in choices:
+        raise ValueError(f"{choice!r} is none of {', '.join(choices)}")
+    return choice
+
+
 def event_time(documented: str, entered: str) -> Column:
     """The documented offset, or the entry offset where it is missing."""
     return F.coalesce(F.col(documented), F.col(entered))

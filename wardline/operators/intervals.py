@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from wardline.functions.columns import rows_or_error
+from wardline.functions.columns import one_of, rows_or_error
 from wardline.operators.segments import (
     SEGMENT,
     own_rows,
@@ -105,6 +105,78 @@ def overlapping(time: str, start: Column, end: Column, window: WindowSpec) -> Co
     return start.isNotNull() & F.col(time).isNotNull() & ((latest > start) | beside)
 
 
+#: Intervals are covered by blocks of 2^6 minutes, and those doubled up to 12 times.
+SMALLEST, DOUBLINGS = 6, 12
+
+
+def _cover(first: Column, last: Column) -> Column:
+    """The fewest (level, block) that make up the smallest blocks from ``first`` to ``last``; a block of level k has 2^k.
+
+    As in a segment tree: of each level at most a block at either end, and all in between of the last.
+    """
+
+    def block(level: int, number: Column) -> Column:
+        return F.struct(F.lit(level).alias("_level"), number.alias("_block"))
+
+    parts = []
+    for k in range(DOUBLINGS):
+        left, right = -F.shiftright(-first, k), F.shiftright(last + 1, k)
+        parts.append(F.when((left < right) & (left.bitwiseAND(1) == 1), block(k, left)))
+        parts.append(F.when((left < right) & (right.bitwiseAND(1) == 1), block(k, right - 1)))
+    left, right = -F.shiftright(-first, DOUBLINGS), F.shiftright(last + 1, DOUBLINGS)
+    inner = F.when(left < right, F.transform(F.sequence(left, right - 1), lambda b: block(DOUBLINGS, b)))
+    return F.concat(F.array_compact(F.array(*parts)), F.coalesce(inner, F.array().cast(_BLOCKS)))
+
+
+_BLOCKS = "array<struct<_level: int, _block: bigint>>"
+
+
+def interval_join(
+    points: DataFrame,
+    intervals: DataFrame,
+    key: str,
+    time: str,
+    *,
+    start: str,
+    end: str,
+    values: Sequence[str],
+) -> DataFrame:
+    """Add the values of every interval that holds a point: a row per match, one with NULLs for a point without any.
+
+    Intervals may overlap and repeat. Each is cut into blocks of time, some small ones at its ends and large ones between,
+    and a moment lies in one block of each size, so both meet in an equality join at most once. Only moments that an
+    interval holds, or that lie within 64 minutes of its ends, are paired with it: never a whole key with all its
+    intervals. Intervals are cut to the time that the points of their key span, which bounds the open-ended ones.
+    """
+    names = {c: f"_{c}" for c in values}
+    moments = points.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(key), F.col(time).cast("long").alias(time)
+    )
+    moments = moments.distinct()
+    span = moments.groupBy(key).agg(F.min(time).alias("_least"), F.max(time).alias("_most"))
+    live = live_intervals(intervals, start, end).select(
+        key,
+        F.col(start).cast("long").alias("_start"),
+        F.col(end).cast("long").alias("_end"),
+        *(F.col(c).alias(n) for c, n in names.items()),
+    )
+    first = F.shiftright(F.greatest("_start", "_least"), SMALLEST)
+    last = F.shiftright(F.least(F.coalesce(F.col("_end") - 1, F.col("_most")), "_most"), SMALLEST)
+    reached = live.filter(F.col("_start").isNotNull()).join(span, key).filter(first <= last)
+    covers = reached.select(key, "_start", "_end", *names.values(), F.explode(_cover(first, last)).alias("_at")).select(
+        key, "_start", "_end", *names.values(), "_at.*"
+    )
+    levels = [
+        F.struct(F.lit(k).alias("_level"), F.shiftright(time, SMALLEST + k).alias("_block")) for k in range(DOUBLINGS + 1)
+    ]
+    placed = moments.select(key, time, F.explode(F.array(*levels)).alias("_at")).select(key, time, "_at.*")
+    held = (F.col(time) >= F.col("_start")) & (F.col("_end").isNull() | (F.col(time) < F.col("_end")))
+    matches = covers.join(placed, [key, "_level", "_block"]).filter(held).select(key, time, *names.values())
+    return points.join(matches, [key, time], "left").select(
+        *points.columns, *(F.col(n).alias(c) for c, n in names.items())
+    )
+
+
 def interval_lookup(
     points: DataFrame,
     intervals: DataFrame,
@@ -114,14 +186,18 @@ def interval_lookup(
     start: str,
     end: str,
     values: Sequence[str],
+    overlaps: str = "error",
     width: int | None = None,
 ) -> DataFrame:
     """Add the values of the interval that holds each point, NULL where none does.
 
     The intervals of a key must not overlap, which is checked. So the only candidate for a
     point is the latest interval that started at or before it, and a merge of both sides
-    in time order finds it without pairing rows.
+    in time order finds it without pairing rows. With ``overlaps="rows"`` they may, and there is
+    a row for each of them (``interval_join``).
     """
+    if one_of(overlaps, "error", "rows") == "rows":
+        return interval_join(points, intervals, key, time, start=start, end=end, values=values)
     names = {c: f"_{c}" for c in values}
     live = live_intervals(intervals, start, end).select(
         key,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wardline.functions.columns import one_of
 from wardline.functions.sums import running, window_parts, window_sum, window_totals
 from wardline.operators.segments import own_rows, segment_window, segmented
+from wardline.operators.staging import repeat_rows
 
 
 class Trailing(NamedTuple):
@@ -72,11 +75,46 @@ def gap(time: str, window: WindowSpec, *, present: Column, first: int) -> Column
 
 
 def observed_gap(
-    df: DataFrame, key: str, time: str, *, name: str, first: int, width: int | None = None
+    df: DataFrame,
+    key: str,
+    time: str,
+    *,
+    name: str,
+    first: int,
+    ties: str = "error",
+    ties_by: Sequence[str] = (),
+    width: int | None = None,
 ) -> DataFrame:
-    """Add the gap to the previous row for a series with one row per (key, minute)."""
+    """Add the gap to the previous row of a series, ``first`` where there is none.
+
+    Several rows at one (key, minute) are an error. With ``ties="rows"`` they follow one another in the order of
+    ``ties_by`` and then of all columns: the first has the gap to the minute before, the others 0 (``first`` without a time,
+    as no time comes before theirs). Equal rows are counted, not gathered, and written out again at the end.
+    """
+    if one_of(ties, "error", "rows") == "rows":
+        return _tied_gap(df, key, time, name, first, ties_by, width)
     marked = df.withColumn("_present", F.lit(True))
     rows = segmented(marked, key, time, carry=[("_present",)], width=width)
     window = segment_window(key, time)
     added = rows.withColumn(name, gap(time, window, present=F.col("_present"), first=first))
     return own_rows(added).drop("_present")
+
+
+def _tied_gap(
+    df: DataFrame, key: str, time: str, name: str, first: int, ties_by: Sequence[str], width: int | None
+) -> DataFrame:
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    place = F.struct(*(F.col(c).alias(f"_{i}") for i, c in enumerate([*ties_by, *df.columns])))
+    moments = counted.groupBy(key, time).agg(F.min(place).alias("_leads"))
+    gaps = observed_gap(moments, key, time, name=name, first=first, width=width).select(
+        F.col(key).alias("_key"), F.col(time).alias("_time"), "_leads", name
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(time).eqNullSafe(F.col("_time"))
+    rows = counted.join(gaps, same).withColumn("_lead", place.eqNullSafe(F.col("_leads")))
+    follows = F.when(F.col(time).isNull(), F.lit(first)).otherwise(F.lit(0)).cast("long")
+    kinds = F.array(
+        F.struct(F.when(F.col("_lead"), F.lit(1).cast("long")).alias("copies"), F.col(name).alias("gap")),
+        F.struct((F.col("_copies") - F.col("_lead").cast("long")).alias("copies"), follows.alias("gap")),
+    )
+    split = rows.select(*df.columns, F.explode(kinds).alias("_kind"))
+    return repeat_rows(split.select(*df.columns, F.col("_kind.gap").alias(name), "_kind.copies"), "copies")

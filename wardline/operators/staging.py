@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.columns import rows_or_error
+from wardline.functions.columns import one_of, rows_or_error
 from wardline.operators.segments import own_rows, segment_window, segmented
 
 
@@ -60,16 +60,40 @@ def merge_rows(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).drop("_repeated")
 
 
-def align_series(keys: Sequence[str], series: Sequence[DataFrame]) -> DataFrame:
+def align_series(keys: Sequence[str], series: Sequence[DataFrame], *, repeats: str = "error") -> DataFrame:
     """One row per key that occurs in any of the series, with the columns of all.
 
     Each series has at most one row per key and columns of its own. A union and one
     aggregation replace a spine of distinct keys and a join per series, so every
-    series is read and shuffled once.
+    series is read and shuffled once. A repeated key is an error; with ``repeats="rows"`` each of its rows meets
+    each of the other series' rows of that key.
     """
+    if one_of(repeats, "error", "rows") == "rows":
+        return repeat_rows(counted_series(keys, series), COPIES)
     return merge_rows(stack_series(keys, series), keys)
 
 
+COPIES = "_copies"
+
+
+def counted_series(keys: Sequence[str], series: Sequence[DataFrame]) -> DataFrame:
+    """The different rows that aligned series with repeated keys have, and how often each is there.
+
+    Equal rows of a series are counted before anything is joined, so only different ones meet, and
+    the counts are multiplied.
+    """
+    counts = [
+        s.dropna(subset=list(keys)).groupBy(*s.columns).agg(F.count("*").alias(f"_times_{i}"))
+        for i, s in enumerate(series)
+    ]
+    rows = reduce(DataFrame.unionByName, [c.select(*keys) for c in counts]).distinct()
+    for c in counts:
+        rows = rows.join(c, list(keys), "left")
+    times = [f"_times_{i}" for i in range(len(series))]
+    product = reduce(lambda a, b: a * b, (F.coalesce(c, F.lit(1).cast("long")) for c in times))
+    return rows.withColumn(COPIES, product).drop(*times)
+
+
 def stage_cascade(rules: Sequence[tuple[Column, int | None]], otherwise: int | None) -> Column:
     """The stage of the first rule that holds."""
     (condition, stage), *rest = rules

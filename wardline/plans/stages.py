@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import vocab
+from wardline.functions.columns import one_of
 from wardline.operators.segments import OWN, SEGMENT, own_rows, segment_window, segmented
-from wardline.operators.series import Trailing
+from wardline.operators.series import Trailing, trailing
 from wardline.operators.staging import (
+    COPIES,
+    counted_series,
     merge_rows,
     near_event,
     repeat_rows,
@@ -77,6 +80,7 @@ def kdigo_stages(
     dialysis_events: DataFrame,
     *,
     normalize_labels: bool = False,
+    repeats: str = "error",
     ordered: bool = False,
 ) -> DataFrame:
     """Stage per stay and offset, and the highest stage of the last six hours.
@@ -85,6 +89,9 @@ def kdigo_stages(
     events at one offset give as many equal rows. ``normalize_labels`` matches dialysis
     types with blanks read as underscores; without it peritoneal events do not count,
     because their labels are spelled differently where they are made.
+
+    A stay listed twice and two rows of a series at one offset are errors. With ``repeats="rows"`` every row of a series
+    meets every row that the others have at its offset, for each time the stay is listed.
     """
     creatinine = kdigo_creatinine.select(
         STAY,
@@ -108,26 +115,45 @@ def kdigo_stages(
         "aki_stage_dialysis", F.lit(3)
     )
 
-    # The series are brought together inside the segments that the smoothing works on:
-    # one shuffle for both. They hold one row per minute each, so there is little that
-    # combining before the shuffle could save.
-    stacked = stack_series([STAY, _TIME], [creatinine, urine, replacement])
+    together = _single_series if one_of(repeats, "error", "rows") == "error" else _repeated_series
+    staged = together([creatinine, urine, replacement])
+    columns = ("uniquepid", "patienthealthsystemstayid")
+    listed = stays(patient, *columns) if repeats == "error" else patient.select(STAY, *columns)
+    rows = staged.join(listed, STAY).select(*DERIVED["kdigo_stages"].fieldNames(), COPIES)
+    result = repeat_rows(rows, COPIES)
+    return result.orderBy(STAY, _TIME) if ordered else result
+
+
+_STAGES = ("aki_stage_creat", "aki_stage_uo", "aki_stage_dialysis")
+
+
+def _highest() -> Column:
+    return F.greatest(*(F.coalesce(c, F.lit(0)) for c in _STAGES))
+
+
+def _single_series(series: list[DataFrame]) -> DataFrame:
+    """The series are brought together inside the segments that the smoothing works on:
+    one shuffle for both. They hold one row per minute each, so there is little that
+    combining before the shuffle could save.
+    """
+    stacked = stack_series([STAY, _TIME], series)
     segments = segmented(stacked, STAY, _TIME, back=SMOOTHING_MINUTES)
     aligned = merge_rows(segments.repartition(STAY, SEGMENT), [STAY, SEGMENT, _TIME, OWN])
-    stages = ("aki_stage_creat", "aki_stage_uo", "aki_stage_dialysis")
-    highest = F.greatest(*(F.coalesce(c, F.lit(0)) for c in stages))
     smoothed = Trailing(F.max("aki_stage"), SMOOTHING_MINUTES)
-    staged = own_rows(
-        aligned.withColumn("aki_stage", highest).withColumn(
-            "aki_stage_smoothed", smoothed.over(segment_window(STAY, _TIME))
-        )
+    staged = aligned.withColumn("aki_stage", _highest()).withColumn(
+        "aki_stage_smoothed", smoothed.over(segment_window(STAY, _TIME))
     )
+    return own_rows(staged).withColumn(COPIES, F.coalesce("_events", F.lit(1).cast("long")))
 
-    rows = staged.join(stays(patient, "uniquepid", "patienthealthsystemstayid"), STAY).select(
-        *DERIVED["kdigo_stages"].fieldNames(), F.coalesce("_events", F.lit(1)).alias("_copies")
-    )
-    result = repeat_rows(rows, "_copies")
-    return result.orderBy(STAY, _TIME) if ordered else result
+
+def _repeated_series(series: list[DataFrame]) -> DataFrame:
+    """Different rows meet at their offset, counted. Smoothing needs the highest stage of each minute only."""
+    aligned = counted_series([STAY, _TIME], series).withColumn("aki_stage", _highest())
+    moments = aligned.groupBy(STAY, _TIME).agg(F.max("aki_stage").alias("_stage"))
+    smoothed = {"aki_stage_smoothed": Trailing(F.max("_stage"), SMOOTHING_MINUTES)}
+    smooth = trailing(moments, STAY, _TIME, smoothed).drop("_stage")
+    times = F.col(COPIES) * F.coalesce("_events", F.lit(1).cast("long"))
+    return aligned.join(smooth, [STAY, _TIME]).withColumn(COPIES, times)
 
 
 def _replacement_events(dialysis_events: DataFrame, normalize_labels: bool) -> DataFrame:

@@ -14,7 +14,15 @@ def stays(patient: DataFrame, *columns: Column | str) -> DataFrame:
 
     The aggregation that finds out partitions by stay, as the joins with it need anyway.
     """
-    listed = patient.filter(F.col(STAY).isNotNull()).select(STAY, F.struct(F.lit(0).alias("_"), *columns).alias("_of"))
-    counted = listed.groupBy(STAY).agg(F.max("_of").alias("_of"), (F.count("*") > 1).alias("_repeated"))
+    listed = patient.filter(F.col(STAY).isNotNull()).select(STAY, *columns)
+    values = [c for c in listed.columns if c != STAY]
+    counted = listed.groupBy(STAY).agg(
+        *(F.first(c).alias(c) for c in values), (F.count("*") > 1).alias("_repeated")
+    )
     once = counted.filter(rows_or_error("_repeated", F.lit(True), "patient lists a stay more than once", [STAY]))
-    return once.select(STAY, "_of.*").drop("_")
+    return once.drop("_repeated")
+
+
+def times_listed(patient: DataFrame, name: str) -> DataFrame:
+    """How often each stay is listed."""
+    return patient.filter(F.col(STAY).isNotNull()).groupBy(STAY).agg(F.count("*").alias(name))

@@ -6,6 +6,8 @@ joins or correlated subqueries here, windows over segments in Spark.
 
 from __future__ import annotations
 
+import re
+
 from wardline import vocab
 from workbench.adapters import EVENTS_SQL, SOURCES_SQL, sql_list, sql_text
 from workbench.queries import PART_RULE, PRIORITY_LABELS
@@ -274,6 +276,76 @@ def _kdigo_stages(normalize: bool) -> str:
     )
 
 
+# --- Plans over tables that repeat stays, offsets and intervals ----------------------------
+
+
+def _patients() -> list[str]:
+    """All sources, but `patient` with some stays listed twice; `patient_once` as it was."""
+    names = dict.fromkeys(("lab", *WEIGHT_SOURCES, *DIALYSIS_SOURCES))
+    once = [c.replace("patient AS (", "patient_once AS (", 1) if n == "patient" else c for n, c in zip(names, _sources(*names)[1:])]
+    twice = """patient AS (
+  SELECT * FROM patient_once
+  UNION ALL
+  SELECT * REPLACE (patienthealthsystemstayid + 1000 AS patienthealthsystemstayid,
+                    CAST(15000 AS BIGINT) AS unitdischargeoffset)
+  FROM patient_once WHERE patientunitstayid % 5 = 0)"""
+    return [EVENTS_SQL, *once, twice]
+
+
+REPEATED = [
+    URINE.replace("urine AS (", "urine_once AS (", 1),
+    """urine AS (
+  SELECT * FROM urine_once
+  UNION ALL
+  SELECT * REPLACE (urineoutput * 0.5 AS urineoutput) FROM urine_once WHERE chartoffset IS NULL OR chartoffset % 3 = 0)""",
+    re.sub(r"\bpatient\b", "patient_once", WEIGHTS).replace("\nweights AS (", "\nweights_once AS ("),
+    """weights AS (
+  SELECT * FROM weights_once
+  UNION ALL
+  SELECT patientunitstayid, startoffset - 400, CASE WHEN patientunitstayid % 4 = 0 THEN endoffset + 900 END,
+         weight + 7, weight_type
+  FROM weights_once WHERE patientunitstayid % 2 = 0)""",
+]
+
+
+def _range_sums() -> str:
+    sums = []
+    for h in (6, 12, 24):
+        frame = f"OVER (PARTITION BY patientunitstayid ORDER BY chartoffset NULLS LAST RANGE BETWEEN {60 * h} PRECEDING AND CURRENT ROW)"
+        sums.append(f"SUM({_dec('urineoutput')}) {frame} AS vol_{h}, SUM(gap) {frame} AS min_{h}")
+    return ", ".join(sums)
+
+
+REPEATED_RATE = f"""urine_gaps AS (
+  SELECT *, CASE WHEN previous IS NULL THEN 60 WHEN chartoffset IS NULL THEN 0
+                 ELSE greatest(chartoffset - previous, 0) END AS gap
+  FROM (SELECT u.*, lag(chartoffset) OVER (PARTITION BY patientunitstayid
+                                           ORDER BY chartoffset NULLS LAST) AS previous
+        FROM urine u JOIN patient USING (patientunitstayid))),
+urine_frames AS (SELECT patientunitstayid, chartoffset, {_range_sums()} FROM urine_gaps),
+urine_rate AS (
+  SELECT f.patientunitstayid, f.chartoffset, w.weight,
+         {", ".join(f"CAST(vol_{h} AS DOUBLE) AS urineoutput_{h}hr" for h in (6, 12, 24))},
+         {", ".join(_uo_rate(h) for h in (6, 12, 24))},
+         {", ".join(f"CAST(min_{h} AS DOUBLE) / 60 AS uo_tm_{h}hr" for h in (6, 12, 24))}
+  FROM urine_frames f LEFT JOIN weights w ON w.patientunitstayid = f.patientunitstayid
+   AND f.chartoffset >= w.startoffset AND (w.endoffset IS NULL OR f.chartoffset < w.endoffset))"""
+
+
+def _stages_repeats() -> str:
+    return _query(
+        """SELECT s.*, MAX(aki_stage) OVER (PARTITION BY patientunitstayid ORDER BY chartoffset
+                                            RANGE BETWEEN 360 PRECEDING AND CURRENT ROW) AS aki_stage_smoothed
+           FROM scored s""",
+        *_patients(),
+        DIALYSIS,
+        *REPEATED,
+        CREATININE,
+        REPEATED_RATE,
+        _stages(False),
+    )
+
+
 # --- Single operators -------------------------------------------------------------------
 
 SERIES = f"""series AS (
@@ -350,6 +422,34 @@ ORACLE: dict[str, str] = {
         EVENTS_SQL,
         SERIES,
     ),
+    "q5_kdigo_creatinine_repeats": _query("SELECT * FROM creatinine", *_patients(), CREATININE),
+    "q6_kdigo_uo_repeats": _query("SELECT * FROM urine_rate", *_patients(), *REPEATED, REPEATED_RATE),
+    "q7_kdigo_stages_repeats": _stages_repeats(),
+    "gap_lag_ties": _query(
+        """SELECT user_id, "at", v,
+                  ifnull("at" - lag("at") OVER (PARTITION BY user_id ORDER BY "at", v), 60) AS gap
+           FROM moments""",
+        EVENTS_SQL,
+        "moments AS (SELECT sid AS user_id, CAST(floor(off / 20) AS BIGINT) AS \"at\", v FROM ev)",
+    ),
+    "interval_join": _query(
+        """SELECT c.sid AS user_id, c.off, c.k, s.v
+           FROM ev c LEFT JOIN ev s
+             ON s.et IN ('signup', 'error') AND s.sid = c.sid AND s.off <= c.off
+            AND (s.k % 10 = 0 OR c.off < s.off + s.k * s.k)
+           WHERE c.et = 'click'""",
+        EVENTS_SQL,
+    ),
+    "align_series_repeats": _query(
+        """SELECT user_id, hour, c.k AS click_k, e.k AS error_k, v.k AS view_k
+           FROM (SELECT DISTINCT user_id, hour FROM kinds) LEFT JOIN (FROM kinds WHERE et = 'click') c USING (user_id, hour)
+           LEFT JOIN (FROM kinds WHERE et = 'error') e USING (user_id, hour)
+           LEFT JOIN (FROM kinds WHERE et = 'view') v USING (user_id, hour)""",
+        EVENTS_SQL,
+        """hours AS (SELECT sid AS user_id, CAST(floor(off / 60) AS BIGINT) AS hour, et, k FROM ev
+                     WHERE k < 40 AND et IN ('click', 'error', 'view')),
+           kinds AS (FROM hours UNION ALL FROM hours WHERE k % 4 = 0)""",
+    ),
     "gap_lag": _query(
         """SELECT user_id, off,
                   ifnull(off - lag(off) OVER (PARTITION BY user_id ORDER BY off), 60) AS gap_minutes

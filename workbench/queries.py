@@ -23,6 +23,8 @@ from wardline.operators.staging import align_series, near_event
 from wardline.plans.creatinine import kdigo_creatinine as creatinine_plan
 from wardline.plans.derive import derive, source_names
 from wardline.plans.stages import creatinine_stage
+from wardline.plans.stages import kdigo_stages as stages_plan
+from wardline.plans.urine_rate import kdigo_uo as uo_plan
 from wardline.plans.weight_durations import admit_offset
 from workbench.adapters import events, sources, table
 
@@ -48,6 +50,64 @@ kdigo_stages = _derived("kdigo_stages")
 kdigo_stages_normalized = _derived("kdigo_stages", normalize_labels=True)
 
 
+# --- The plans over tables that repeat stays, offsets and intervals -------------------------
+
+
+def _twice(patient: DataFrame) -> DataFrame:
+    """Every fifth stay is listed again, with another hospital stay and discharge."""
+    again = patient.filter(F.col("patientunitstayid") % 5 == 0).withColumns(
+        {
+            "patienthealthsystemstayid": F.col("patienthealthsystemstayid") + 1000,
+            "unitdischargeoffset": F.lit(15000).cast("long"),
+        }
+    )
+    return patient.unionByName(again)
+
+
+def _repeated(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Derived tables, of which some have rows at one offset or intervals that overlap."""
+    tables = sources(spark, sf_dir, *sorted(set().union(*(source_names(n) for n in names))))
+    made = {"patient": tables["patient"]} | {n: derive(n, tables) for n in names if n not in tables}
+    stay = F.col("patientunitstayid")
+    if "urine_output" in made:
+        urine = made["urine_output"]
+        more = urine.filter(F.col("chartoffset").isNull() | (F.col("chartoffset") % 3 == 0))
+        made["urine_output"] = urine.unionByName(more.withColumn("urineoutput", F.col("urineoutput") * 0.5))
+    if "weight_durations" in made:
+        weights = made["weight_durations"]
+        wider = weights.filter(stay % 2 == 0).withColumns(
+            {
+                "startoffset": F.col("startoffset") - 400,
+                "endoffset": F.when(stay % 4 == 0, F.col("endoffset") + 900),
+                "weight": F.col("weight") + 7,
+            }
+        )
+        made["weight_durations"] = weights.unionByName(wider)
+    return made
+
+
+def kdigo_creatinine_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = sources(spark, sf_dir, "patient", "lab")
+    return creatinine_plan(_twice(tables["patient"]), tables["lab"], repeats="rows")
+
+
+def kdigo_uo_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _repeated(spark, sf_dir, "patient", "urine_output", "weight_durations")
+    return uo_plan(made["urine_output"], _twice(made["patient"]), made["weight_durations"], repeats="rows")
+
+
+def kdigo_stages_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _repeated(spark, sf_dir, "patient", "lab", "urine_output", "weight_durations", "dialysis_events")
+    patient = _twice(made["patient"])
+    return stages_plan(
+        patient,
+        kdigo_creatinine_repeats(spark, sf_dir),
+        uo_plan(made["urine_output"], patient, made["weight_durations"], repeats="rows"),
+        made["dialysis_events"],
+        repeats="rows",
+    )
+
+
 # --- Single operators -------------------------------------------------------------------
 
 
@@ -104,6 +164,12 @@ def gap_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed_gap(moments, "user_id", "off", name="gap_minutes", first=60)
 
 
+def gap_lag_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of a user, several of which lie in one minute."""
+    moments = events(spark, sf_dir).select(F.col("sid").alias("user_id"), F.floor(F.col("off") / 20).alias("at"), "v")
+    return observed_gap(moments, "user_id", "at", name="gap", first=60, ties="rows", ties_by=["v"])
+
+
 def _signup_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a user signed up with, valid until the next signup."""
     starts = (
@@ -150,6 +216,22 @@ def interval_lookup_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interval_join_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with what holds of several overlapping spans after signups and errors, some without an end."""
+    ev = events(spark, sf_dir)
+    off, k = F.col("off"), F.col("k")
+    spans = ev.filter(F.col("et").isin("signup", "error")).select(
+        F.col("sid").alias("user_id"),
+        off.alias("startoffset"),
+        F.when(k % 10 != 0, off + k * k).alias("endoffset"),
+        "v",
+    )
+    clicks = ev.filter(F.col("et") == "click").select(F.col("sid").alias("user_id"), "off", "k")
+    return interval_lookup(
+        clicks, spans, "user_id", "off", start="startoffset", end="endoffset", values=["v"], overlaps="rows"
+    )
+
+
 def near_event_or_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks within 12 hours of an error, and all clicks of users who never signed up."""
     ev = events(spark, sf_dir).withColumnRenamed("sid", "user_id")
@@ -291,6 +373,18 @@ def align_three_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_series(["user_id", "off"], [one("click"), one("error"), one("view")])
 
 
+def align_series_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of three kinds by user and hour, without adding up those of one hour."""
+    ev = events(spark, sf_dir).filter(F.col("k") < 40)
+
+    def one(kind: str) -> DataFrame:
+        hour = F.floor(F.col("off") / 60).alias("hour")
+        rows = ev.filter(F.col("et") == kind).select(F.col("sid").alias("user_id"), hour, F.col("k").alias(f"{kind}_k"))
+        return rows.unionByName(rows.filter(F.col(f"{kind}_k") % 4 == 0))
+
+    return align_series(["user_id", "hour"], [one("click"), one("error"), one("view")], repeats="rows")
+
+
 def stage_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     lows = _lows(spark, sf_dir)
     stage = creatinine_stage(F.col("mean_value"), F.col("low_7day"), F.col("low_48hr"))
@@ -346,12 +440,17 @@ QUERIES: dict[str, Query] = {
     "q6_kdigo_uo": kdigo_uo,
     "q7_kdigo_stages": kdigo_stages,
     "q7_kdigo_stages_normalized": kdigo_stages_normalized,
+    "q5_kdigo_creatinine_repeats": kdigo_creatinine_repeats,
+    "q6_kdigo_uo_repeats": kdigo_uo_repeats,
+    "q7_kdigo_stages_repeats": kdigo_stages_repeats,
     "trailing_min_excl": trailing_min_excl,
     "trailing_sum": trailing_sum,
     "trailing_max": trailing_max,
     "gap_lag": gap_lag,
+    "gap_lag_ties": gap_lag_ties,
     "interval_build": interval_build,
     "interval_lookup": interval_lookup_clicks,
+    "interval_join": interval_join_clicks,
     "near_event_or_absent": near_event_or_absent,
     "label_exact": label_exact,
     "text_rules": text_rules,
@@ -362,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "group_sum_avg": group_sum_avg,
     "semi_join": semi_join,
     "align_series": align_three_series,
+    "align_series_repeats": align_series_repeats,
     "stage_cascade": stage_cascade,
     "creatinine_decimal": creatinine_decimal,
     "guarded_rate": guarded_rate,
