@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import vocab
-from wardline.functions.columns import first_number, kilograms
-from wardline.operators.intervals import validity_intervals
+from wardline.functions.columns import first_number, kilograms, rows_or_error
+from wardline.operators.segments import SEGMENT, segment_of, segment_width
 from wardline.operators.staging import repeat_rows
-from wardline.plans.stays import stays
 from wardline.schemas import STAY
 
 LOWEST, HIGHEST = 20, 1000
 MARGIN = 120
-SALTS = 16
 ADMIT, DAILY = "admit", "daily"
 
 
@@ -90,130 +88,132 @@ def weight_durations(
     intakeoutput: DataFrame,
     *,
     ordered: bool = False,
+    width: int | None = None,
 ) -> DataFrame:
     """One interval per charted weight, and one from admission to the first weight.
 
     Weights charted at one offset are taken in the order (weight_type, weight): all but
-    the last of them get an interval of length zero.
+    the last of them get an interval of length zero. A stay listed twice is an error.
+
+    What a stay is, its first admission weight and its charted weights travel as rows of one table, so one
+    layout by (stay, segment) serves the order of the weights and the edges of the segments; only those, a row a
+    segment, are then laid out by stay.
     """
     records = weight_records(patient, infusiondrug, physicalexam, intakeoutput)
-    listed = stays(patient, admit_offset(patient).alias("admitoffset"), "unitdischargeoffset")
-    counts = _with_first_admit_moved(records, listed)
-
-    is_admit = F.col("weight_type") == ADMIT
-    daily, admit = F.when(~is_admit, F.col("weight")), F.when(is_admit, F.col("weight"))
-    starts = (
-        counts.groupBy(STAY, "startoffset")
-        .agg(
-            F.sum("copies").alias("tied"),
-            F.max(daily).alias("_daily_high"),
-            F.max(admit).alias("_admit_high"),
-            F.min(daily).alias("_daily_low"),
-            F.min(admit).alias("_admit_low"),
-        )
-        .select(
-            STAY,
-            "startoffset",
-            "tied",
-            F.coalesce("_daily_high", "_admit_high").alias("weight"),
-            _kind(F.col("_daily_high").isNull()).alias("weight_type"),
-            F.coalesce("_admit_low", "_daily_low").alias("first_weight"),
-            _kind(F.col("_admit_low").isNotNull()).alias("first_weight_type"),
-        )
+    rows = _counted(records, _per_stay(records, patient), width or segment_width())
+    in_order = Window.partitionBy(STAY, SEGMENT).orderBy("startoffset", "weight_type", "weight")
+    placed = rows.repartition(STAY, SEGMENT).withColumns(
+        {"_next": F.lead("startoffset").over(in_order), "_place": F.row_number().over(in_order)}
     )
-    intervals = validity_intervals(
-        starts,
-        listed,
+
+    # Where the next segment of a stay begins; the row of a stay that holds no weight is in the last segment.
+    by_stay = Window.partitionBy(STAY)
+    by_segment = by_stay.orderBy(SEGMENT)
+    # naming all columns in both branches keeps them on one layout, which is then made once
+    edges = placed.filter((F.col("_place") == 1) & (F.col("copies") >= 0)).select(
         STAY,
-        "startoffset",
-        opening="admitoffset",
-        closing="unitdischargeoffset",
-        margin=MARGIN,
-        payload=["weight", "weight_type"],
-        first_payload={"weight": "first_weight", "weight_type": "first_weight_type"},
+        SEGMENT,
+        F.lead("startoffset").over(by_segment).alias("_next_head"),
+        F.lag("startoffset").over(by_segment).isNull().alias("_opens_stay"),
+        F.max("admitoffset").over(by_stay).alias("_open"),
+        F.max("unitdischargeoffset").over(by_stay).alias("_close"),
+    )
+    start = F.col("startoffset")
+    of_weights = F.col("admitoffset").isNull() & F.col("unitdischargeoffset").isNull() & (F.col("copies") > 0)
+    chained = placed.filter(of_weights).drop("admitoffset", "unitdischargeoffset")
+    joined = chained.join(edges.filter(F.col("_open").isNotNull()), [STAY, SEGMENT])
+    end = F.coalesce("_next", "_next_head", F.coalesce("_close", start) + MARGIN)
+
+    def interval(first: Column, last: Column, copies: Column) -> Column:
+        return F.struct(first.alias("startoffset"), last.alias("endoffset"), copies.alias("copies"))
+
+    one = F.lit(1).cast("long")
+    before = F.col("_opens_stay") & (F.col("_place") == 1) & (F.col("_open") < start)
+    intervals = [
+        interval(start, end, one),
+        F.when(F.col("copies") > 1, interval(start, start, F.col("copies") - 1)),
+        F.when(before, interval(F.col("_open") - MARGIN, start, one)),
+    ]
+    result = repeat_rows(
+        joined.select(
+            STAY, F.explode(F.array_compact(F.array(*intervals))).alias("_span"), "weight", "weight_type"
+        ).select(STAY, "_span.*", "weight", "weight_type"),
+        "copies",
     )
-    result = intervals.unionByName(_zero_length(counts, starts, listed))
     return result.orderBy(STAY, "startoffset") if ordered else result
 
 
-def _kind(is_admit: Column) -> Column:
-    return F.when(is_admit, F.lit(ADMIT)).otherwise(F.lit(DAILY))
-
+#: The first of some (offset, weight) is found as the least decimal offset * 1024 + weight, as weights are below 1024:
+#: a number keeps the aggregation in its hash table, which a pair would not.
+_PACKED, _RADIX = "decimal(37,17)", 1024
 
-def _with_first_admit_moved(records: DataFrame, listed: DataFrame) -> DataFrame:
-    """How often each (stay, start, type, weight) occurs, equal records counted map-side.
 
-    One copy of the first admission weight of a stay counts from before admission
-    instead of from its own offset.
-    """
-    first = (
-        records.filter(F.col("weight_type") == ADMIT)
-        .groupBy(STAY)
-        .agg(F.min(F.struct("chartoffset", "weight")).alias("first"))
-    )
-    moved = listed.join(first, STAY).select(
+def _per_stay(records: DataFrame, patient: DataFrame) -> DataFrame:
+    """One row per listed stay: admission, discharge, and its first admission weight if there is one."""
+    packed = (F.col("chartoffset") * _RADIX).cast(_PACKED) + F.col("weight").cast(_PACKED)
+    admits = records.filter(F.col("weight_type") == ADMIT).select(STAY, packed.cast(_PACKED).alias("_first"))
+    listed = patient.filter(F.col(STAY).isNotNull()).select(
         STAY,
-        F.explode(
-            F.array(
-                F.struct(
-                    (F.col("admitoffset") - MARGIN).alias("startoffset"),
-                    F.lit(1).cast("long").alias("copies"),
-                ),
-                F.struct(
-                    F.col("first.chartoffset").alias("startoffset"),
-                    F.lit(-1).cast("long").alias("copies"),
-                ),
-            )
-        ).alias("move"),
-        F.lit(ADMIT).alias("weight_type"),
-        F.col("first.weight").alias("weight"),
+        admit_offset(patient).alias("admitoffset"),
+        F.col("unitdischargeoffset").cast("long").alias("unitdischargeoffset"),
     )
-    return (
-        records.select(
-            STAY,
-            F.col("chartoffset").alias("startoffset"),
-            F.lit(1).cast("long").alias("copies"),
-            "weight_type",
-            "weight",
-        )
-        .unionByName(moved.select(STAY, "move.*", "weight_type", "weight"))
-        # Stated here so that every consumer has the same plan and shares one shuffle.
-        .filter(F.col("startoffset").isNotNull() & F.col("weight").isNotNull())
-        .groupBy(STAY, "startoffset", "weight_type", "weight")
-        .agg(F.sum("copies").alias("copies"))
-        .filter(F.col("copies") > 0)
+    both = listed.unionByName(admits, allowMissingColumns=True)
+    found = both.groupBy(STAY).agg(
+        F.max("admitoffset").alias("admitoffset"),
+        F.max("unitdischargeoffset").alias("unitdischargeoffset"),
+        F.min("_first").alias("_first"),
+        (F.count("admitoffset") > 1).alias("_repeated"),
+    )
+    wanted = F.col("admitoffset").isNotNull()
+    once = found.filter(rows_or_error("_repeated", wanted, "patient lists a stay more than once", [STAY]))
+    first = F.floor(F.col("_first") / F.lit(_RADIX)).cast("long")
+    return once.select(
+        STAY,
+        "admitoffset",
+        "unitdischargeoffset",
+        first.alias("first_offset"),
+        (F.col("_first") - (first * _RADIX).cast(_PACKED)).cast("double").alias("first_weight"),
     )
 
 
-def _zero_length(counts: DataFrame, starts: DataFrame, listed: DataFrame) -> DataFrame:
-    """The tied weights that do not carry on: all at one start but one copy of the last.
+def _counted(records: DataFrame, per_stay: DataFrame, width: int) -> DataFrame:
+    """How often each (stay, start, type, weight) occurs, equal records counted map-side, and a row for each stay.
 
-    Many different weights may be charted at one start, so the join is salted by weight.
+    One copy of the first admission weight of a stay counts from before admission
+    instead of from its own offset.
     """
-    # Never NULL, so that no filter on it sets this branch's plan apart from the others'.
-    salt = F.coalesce(F.pmod(F.xxhash64("weight"), F.lit(SALTS)).cast("int"), F.lit(0))
-    tied = starts.filter(F.col("tied") > 1).select(
-        STAY,
-        "startoffset",
-        F.col("weight").alias("_weight"),
-        F.col("weight_type").alias("_weight_type"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+    kind = "struct<startoffset: bigint, copies: bigint, weight_type: string, weight: double, admitoffset: bigint, unitdischargeoffset: bigint>"
+
+    def row(start: Column, copies: int, weight: Column, *of_stay: str) -> Column:
+        given = {"startoffset": start, "copies": F.lit(copies), "weight_type": F.lit(ADMIT), "weight": weight}
+        given |= {c: F.col(c) if c in of_stay else F.lit(None) for c in ("admitoffset", "unitdischargeoffset")}
+        return F.struct(*(c.alias(n) for n, c in given.items())).cast(kind)
+
+    weight, none = F.col("first_weight"), F.lit(None)
+    moved = F.array(
+        row(F.col("admitoffset") - MARGIN, 1, weight),
+        row(F.col("first_offset"), -1, weight),
+        row(none, 0, none, "admitoffset", "unitdischargeoffset"),
     )
-    carries_on = (F.col("weight") == F.col("_weight")) & (
-        F.col("weight_type") == F.col("_weight_type")
+    stay_only = F.array(row(none, 0, none, "admitoffset", "unitdischargeoffset"))
+    of_stays = per_stay.select(
+        STAY, F.explode(F.when(F.col("first_offset").isNull(), stay_only).otherwise(moved)).alias("_row")
+    ).select(STAY, "_row.*")
+    charted = records.select(
+        STAY,
+        F.col("chartoffset").cast("long").alias("startoffset"),
+        F.lit(1).cast("long").alias("copies"),
+        "weight_type",
+        "weight",
     )
-    rest = (
-        counts.withColumn("_salt", salt)
-        .join(tied, [STAY, "startoffset", "_salt"])
-        .withColumn("copies", F.col("copies") - carries_on.cast("long"))
-        .join(listed, STAY, "left_semi")
-        .select(
-            STAY,
-            "startoffset",
-            F.col("startoffset").alias("endoffset"),
-            "weight",
-            "weight_type",
-            "copies",
+    return (
+        charted.unionByName(of_stays, allowMissingColumns=True)
+        .withColumn(SEGMENT, segment_of(F.col("startoffset"), width))
+        .groupBy(STAY, SEGMENT, "startoffset", "weight_type", "weight")
+        .agg(
+            F.sum("copies").alias("copies"),
+            F.max("admitoffset").alias("admitoffset"),
+            F.max("unitdischargeoffset").alias("unitdischargeoffset"),
         )
+        .filter((F.col("copies") > 0) | F.col("startoffset").isNull())
     )
-    return repeat_rows(rest, "copies")
