@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -12,24 +13,29 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.shared import store
+from wardline.llm.shared import drop, store
 
 #: Letters and digits of ASCII (A-Z lower-cased) and all other characters are in terms, the rest of ASCII parts them.
 TERMS = bytes(x if x >= 128 else bytes([x]).lower()[0] if chr(x).isalnum() else 0x20 for x in range(256))
 #: A stratum of more postings (or so) than this is kept in parts.
-PART = 500_000
+PART = 20_000
 #: Strata of an item that are visited before there is a threshold.
 FIRST = 16
-#: Rows up to which one side of a join is broadcast; beyond it both are shuffled.
-BROADCAST_ROWS = 300_000
-STRATUM = ["m", "part"]
+#: Terms of items, each with its weight, that are sent to the tasks at once.
+TOGETHER = 500_000
+#: Items whose scores in a stratum are worked out at once.
+SOME = 256
 
 
 class Index(NamedTuple):
-    """`documents` (row, id, m, part); `postings` (m, part, term, tf, impact, rows); the number of documents with a term."""
+    """`strata`: a row for each part of a stratum, whose lists are its postings; the number of documents with a term.
 
-    documents: DataFrame
-    postings: DataFrame
+    Documents of a part are numbered by id. Term i of `terms`, which blanks part, occurs as often as `tfs[j]` says for j from
+    `levels[i]` to `levels[i + 1]`, in the documents `docs[k]` for k from `ends[j]` to `ends[j + 1]`. What a document gains by
+    a number of occurrences that is one of `values` is in its place of `impacts`.
+    """
+
+    strata: DataFrame
     n_documents: int
 
 
@@ -44,14 +50,13 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             bags = [bags[k] for k in kept]
             offsets = np.concatenate([[0], np.cumsum([len(b) for b in bags])]).astype(np.int32)
-            terms = pa.array([t for b in bags for t in b], pa.binary()).cast(pa.string())
-            tfs = pa.array([n for b in bags for n in b.values()], pa.int64())
+            tfs = pa.array([n for b in bags for n in b.values()], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     some.column("row").take(pa.array(kept)),
                     some.column("id").take(pa.array(kept)),
                     pa.array([b.total() for b in bags], pa.int64()),
-                    pa.ListArray.from_arrays(offsets, terms),
+                    pa.array([b" ".join(b) for b in bags], pa.binary()).cast(pa.string()),
                     pa.ListArray.from_arrays(offsets, tfs),
                 ],
                 ["row", "id", "n", "terms", "tfs"],
@@ -59,12 +64,12 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bags(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, n, terms, tfs) of the rows of `df` with a term."""
+    """(row, id, n, terms, tfs) of the rows of `df` with a term; blanks part the terms, which takes little room."""
     rows = df.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")
     )
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_bags, f"row long, id {kind}, n long, terms array<string>, tfs array<long>")
+    return rows.mapInArrow(_bags, f"row long, id {kind}, n long, terms string, tfs array<int>")
 
 
 def impact(tf: np.ndarray, m: int) -> np.ndarray:
@@ -72,27 +77,36 @@ def impact(tf: np.ndarray, m: int) -> np.ndarray:
 
 
 def invert(key: tuple, table: pa.Table) -> pa.Table:
-    """The postings of a part of a stratum, by term and tf; the impact is worked out once for each tf."""
+    """The postings of a part of a stratum, by term and tf; impacts are worked out once for each tf."""
     m, part = (x.as_py() for x in key)
-    terms = pc.list_flatten(table.column("terms")).combine_chunks().dictionary_encode()
+    order = pc.sort_indices(table, [("id", "ascending"), ("row", "ascending")], null_placement="at_end")
+    table = table.take(order).combine_chunks()
+    lists = pc.split_pattern(table.column("terms"), " ")
+    terms = _one(pc.list_flatten(lists)).dictionary_encode()
     tf = pc.list_flatten(table.column("tfs")).to_numpy()
-    rows = np.repeat(table.column("row").to_numpy(), pc.list_value_length(table.column("terms")).to_numpy())
+    docs = np.repeat(np.arange(table.num_rows, dtype=np.int32), pc.list_value_length(lists).to_numpy())
     code = terms.indices.to_numpy()
-    order = np.lexsort((rows, tf, code))
-    code, tf, rows = code[order], tf[order], rows[order]
-    starts = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (tf[1:] != tf[:-1])]))
-    levels, level = np.unique(tf[starts], return_inverse=True)
-    n = len(starts)
-    return pa.table(
-        {
-            "m": pa.array(np.full(n, m), pa.int64()),
-            "part": pa.array(np.full(n, part), pa.int64()),
-            "term": terms.dictionary.take(pa.array(code[starts])),
-            "tf": pa.array(tf[starts], pa.int64()),
-            "impact": pa.array(impact(levels, m)[level], pa.int64()),
-            "rows": pa.ListArray.from_arrays(np.append(starts, len(rows)).astype(np.int32), pa.array(rows)),
-        }
-    )
+    order = np.lexsort((docs, tf, code))
+    code, tf, docs = code[order], tf[order], docs[order]
+    new_term = np.concatenate([[True], code[1:] != code[:-1]])
+    starts = np.flatnonzero(new_term | np.concatenate([[True], tf[1:] != tf[:-1]]))
+    values = np.unique(tf[starts])
+    row = {
+        "ids": _one(table.column("id")),
+        "levels": pa.array(np.append(np.flatnonzero(new_term[starts]), len(starts)), pa.int32()),
+        "tfs": pa.array(tf[starts], pa.int32()),
+        "values": pa.array(values, pa.int32()),
+        "impacts": pa.array(impact(values.astype(np.int64), m), pa.int64()),
+        "ends": pa.array(np.append(starts, len(docs)), pa.int32()),
+        "docs": pa.array(docs, pa.int32()),
+    }
+    lists = {name: pa.ListArray.from_arrays([0, len(of)], of) for name, of in row.items()}
+    spelled = pa.array([" ".join(terms.dictionary.to_pylist())], pa.string())
+    return pa.table({"m": pa.array([m], pa.int64()), "part": pa.array([part], pa.int64()), "terms": spelled, **lists})
+
+
+def _one(array: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(array.chunks) if isinstance(array, pa.ChunkedArray) else array
 
 
 def build(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = PART) -> Index:
@@ -106,25 +120,193 @@ def build(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: i
     total = found.agg(F.count("*"), F.sum("n")).first()
     n_documents, n_terms = total[0], total[1] or 1
     sized = found.withColumn("m", F.expr(f"10 + (90 * n * {n_documents}L) div {n_terms}L"))
-    parts = sized.groupBy("m").agg(F.ceil(F.sum(F.size("terms")) / F.lit(part)).alias("parts"))
-    dealt = sized.join(parts, "m").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).drop("parts")
-    postings = dealt.select("m", "part", "row", "terms", "tfs").groupBy(*STRATUM).applyInArrow(
-        invert, "m long, part long, term string, tf long, impact long, rows array<long>"
+    parts = sized.groupBy("m").agg(F.ceil(F.sum(F.size("tfs")) / F.lit(part)).alias("parts"))
+    dealt = sized.join(parts, "m").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    kind = found.schema["id"].dataType.simpleString()
+    strata = dealt.select("m", "part", "row", "id", "terms", "tfs").groupBy("m", "part").applyInArrow(
+        invert,
+        f"m long, part long, terms string, ids array<{kind}>, levels array<int>, tfs array<int>, values array<int>, "
+        "impacts array<long>, ends array<int>, docs array<int>",
     )
-    return Index(found.select("row", "id"), store(postings, "postings"), n_documents)
+    strata = store(strata, "strata")
+    drop(found)
+    return Index(strata, n_documents)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast behind a check of its size; `df` is stored, so counting is cheap."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+class Asked(NamedTuple):
+    """Items of one search: their row ids, their different terms, and (term, item) pairs with weights, by term."""
 
+    items: np.ndarray
+    terms: pa.Array
+    pair_term: np.ndarray
+    pair_item: np.ndarray
+    weight: np.ndarray
 
-def _scored(visits: DataFrame, postings: DataFrame) -> DataFrame:
-    """(item, m, part, row, score): what the terms of `visits` (item, m, part, term, w) give each document."""
-    met = postings.join(visits, [*STRATUM, "term"]).select(
-        "item", *STRATUM, (F.col("w") * F.col("impact")).alias("gain"), F.explode("rows").alias("row")
-    )
-    return met.groupBy("item", *STRATUM, "row").agg(F.sum("gain").alias("score"))
+
+class Part(NamedTuple):
+    """A part of a stratum as far as items ask for it: for each of their terms the largest impact (0: none)."""
+
+    m: int
+    part: int
+    ids: pa.Array
+    found: np.ndarray
+    at: np.ndarray
+    best: np.ndarray
+    levels: np.ndarray
+    impacts: np.ndarray
+    ends: np.ndarray
+    docs: np.ndarray
+
+
+def _parts(batches: Iterator[pa.RecordBatch], terms: pa.Array) -> Iterator[Part]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            lists = {c: batch.column(c)[k].values for c in ("ids", "levels", "tfs", "values", "impacts", "ends", "docs")}
+            own = pc.split_pattern(batch.column("terms").slice(k, 1), " ").values
+            places = pc.index_in(terms, value_set=own)
+            found = np.flatnonzero(places.is_valid().to_numpy(zero_copy_only=False))
+            at = places.drop_null().to_numpy().astype(np.int64)
+            levels = lists["levels"].to_numpy()
+            level = np.searchsorted(lists["values"].to_numpy(), lists["tfs"].to_numpy())
+            impacts = lists["impacts"].to_numpy()[level]
+            best = np.zeros(len(terms), np.int64)
+            best[found] = impacts[levels[at + 1] - 1]  # the last level has the largest tf
+            yield Part(
+                batch.column("m")[k].as_py(),
+                batch.column("part")[k].as_py(),
+                lists["ids"],
+                found,
+                at,
+                best,
+                levels,
+                impacts,
+                lists["ends"].to_numpy(),
+                lists["docs"].to_numpy(),
+            )
+
+
+def _bounds(asked: Asked, part: Part) -> np.ndarray:
+    """The most that any document of the part can score for each item; sums stay below 2^53, so doubles are exact."""
+    gains = asked.weight * part.best[asked.pair_term]
+    return np.bincount(asked.pair_item, gains, len(asked.items)).astype(np.int64)
+
+
+def _scores(asked: Asked, part: Part, which: np.ndarray) -> np.ndarray:
+    """Scores of all documents of the part (columns) for some items (rows): weights times impacts."""
+    place = np.full(len(asked.terms), -1)
+    place[part.found] = np.arange(len(part.found))
+    impacts = np.zeros((len(part.found), len(part.ids)))
+    for k, at in enumerate(part.at):
+        first, last = part.levels[at], part.levels[at + 1]
+        starts = part.ends[first : last + 1]
+        impacts[k, part.docs[starts[0] : starts[-1]]] = np.repeat(part.impacts[first:last], np.diff(starts))
+    row = np.full(len(asked.items), -1)
+    row[which] = np.arange(len(which))
+    mine = (row[asked.pair_item] >= 0) & (place[asked.pair_term] >= 0)
+    weights = np.zeros((len(which), len(part.found)))
+    weights[row[asked.pair_item[mine]], place[asked.pair_term[mine]]] = asked.weight[mine]
+    return (weights @ impacts).astype(np.int64)
+
+
+def _holders(strata: DataFrame, terms: pa.Array) -> np.ndarray:
+    """How many documents hold each of the terms."""
+    shared = strata.sparkSession.sparkContext.broadcast(terms)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(len(shared.value), np.int64)
+        for part in _parts(batches, shared.value):
+            held[part.found] += part.ends[part.levels[part.at + 1]] - part.ends[part.levels[part.at]]
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(some), "n": pa.array(held[some])})
+
+    found = strata.mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(terms), np.int64)
+    df[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return df
+
+
+def _leading(strata: DataFrame, asked: Asked, first: int) -> DataFrame:
+    """(item, m, part) of the `first` parts with the highest bounds of each item."""
+    shared = strata.sparkSession.sparkContext.broadcast(asked)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, kept = [], None
+        def best(rows: list) -> np.ndarray:
+            """Of rows (item, bound, m, part), the `first` of each item."""
+            rows = np.concatenate(rows)
+            rows = rows[np.lexsort((rows[:, 3], rows[:, 2], -rows[:, 1], rows[:, 0]))]
+            place = np.arange(len(rows)) - np.searchsorted(rows[:, 0], rows[:, 0])
+            return rows[place < first]
+
+        for part in _parts(batches, shared.value.terms):
+            bound = _bounds(shared.value, part)
+            some = np.flatnonzero(bound)
+            seen.append(np.stack([some, bound[some], np.full(len(some), part.m), np.full(len(some), part.part)], 1))
+            if len(seen) > 1_000:
+                seen = [best(seen)]
+        if seen:
+            kept = best(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(kept[:, k]) for k in range(4)], ["item", "bound", "m", "part"])
+
+    rows = strata.mapInArrow(bounded, "item long, bound long, m long, part long")
+    order = Window.partitionBy("item").orderBy(F.desc("bound"), "m", "part")
+    return rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= first).select("item", "m", "part")
+
+
+def _visited(strata: DataFrame, asked: Asked, least: np.ndarray, top: int, only: dict | None = None) -> DataFrame:
+    """(item, id, score) of the `top` documents in each part for each item whose bound reaches its `least` score.
+
+    `only` tells which items to visit a part for.
+    """
+    kind = strata.schema["ids"].dataType.elementType.simpleString()
+    shared = strata.sparkSession.sparkContext.broadcast((asked, least, only))
+
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, least, only = shared.value
+        for part in _parts(batches, asked.terms):
+            open_ = _bounds(asked, part) >= least
+            if only is not None:
+                mine = np.zeros(len(open_), bool)
+                mine[only.get((part.m, part.part), [])] = True
+                open_ &= mine
+            items = np.flatnonzero(open_)
+            for at in range(0, len(items), SOME):
+                which = items[at : at + SOME]
+                scores = _scores(asked, part, which)
+                row, doc = np.nonzero(scores >= least[which, None])
+                value = scores[row, doc]
+                order = np.lexsort((doc, -value, row))
+                row, doc, value = row[order], doc[order], value[order]
+                kept = np.arange(len(row)) - np.searchsorted(row, row) < top
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which[row[kept]]), part.ids.take(pa.array(doc[kept])), pa.array(value[kept])],
+                    ["item", "id", "score"],
+                )
+
+    return strata.mapInArrow(visited, f"item long, id {kind}, score long")
+
+
+def _ranked(found: DataFrame, top: int) -> DataFrame:
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
+def _some_items(index: Index, pairs: pa.Table, top: int, first: int) -> tuple[DataFrame, np.ndarray]:
+    """(item, rank, id, score) of the items of some (item, term) pairs; `item` is a place in the second result."""
+    terms = pc.unique(pairs.column("term"))
+    items, pair_item = np.unique(pairs.column("item").to_numpy(), return_inverse=True)
+    pair_term = pc.index_in(pairs.column("term"), value_set=terms).to_numpy().astype(np.int64)
+    df = _holders(index.strata, terms)
+    weight = np.floor(1000 * np.log((2 * index.n_documents + 2) / (2 * df + 1))).astype(np.int64)
+    asked = Asked(items, terms, pair_term, pair_item, weight[pair_term])
+    only: dict[tuple, list] = {}
+    for r in _leading(index.strata, asked, first).collect():
+        only.setdefault((r["m"], r["part"]), []).append(r["item"])
+    least = np.ones(len(items), np.int64)
+    early = _ranked(_visited(index.strata, asked, least, top, only), top).where(F.col("rank") == top)
+    for r in early.select("item", "score").collect():
+        least[r["item"]] = r["score"]
+    return _ranked(_visited(index.strata, asked, least, top), top), items
 
 
 def search(
@@ -135,6 +317,7 @@ def search(
     text_col: str = "text",
     top: int = 10,
     first: int = FIRST,
+    together: int = TOGETHER,
 ) -> DataFrame:
     """The `top` documents with a score above 0 for each row of `items`: item, rank, document, score.
 
@@ -144,90 +327,35 @@ def search(
 
     No document of a stratum scores more than the sum over terms of w times the impact of the largest tf there. The
     strata with the highest bounds are visited first and give a threshold, the score that the last place already has. Of the
-    others only those whose bound reaches it are visited, and there only the documents that hold one of the terms without
-    which the threshold is out of reach. What the rest of the terms adds is looked up for those that can still reach it.
-    So the result is exact.
+    others only those whose bound reaches it are visited. So the result is exact. Items are taken in blocks of about
+    `together` terms, which are sent to the tasks; the index itself is never shuffled.
     """
     asked = store(bags(items, item_col, text_col).withColumnRenamed("row", "item"), "items")
-    wanted = asked.select("item", F.explode("terms").alias("term"))
-    terms = store(wanted.select("term").distinct(), "terms")
-    summary = (
-        index.postings.join(_small(terms), "term")
-        .groupBy(*STRATUM, "term")
-        .agg(F.max("impact").alias("best"), F.sum(F.size("rows")).alias("holders"))
-    )
-    summary = store(summary, "summary")
-    ratio = F.lit(float(2 * index.n_documents + 2)) / (2 * F.col("df") + 1)
-    weights = (
-        summary.groupBy("term")
-        .agg(F.sum("holders").alias("df"))
-        .select("term", F.floor(1000 * F.log(ratio)).cast("long").alias("w"))
-    )
-    weighed = store(wanted.join(weights, "term"), "weights")
-    plan = store(
-        summary.join(_small(weighed), "term").select("item", *STRATUM, "term", "w", (F.col("w") * F.col("best")).alias("bound")),
-        "visits",
-    )
-    by_bound = Window.partitionBy("item").orderBy(F.desc("bound"), *STRATUM)
-    bounds = store(plan.groupBy("item", *STRATUM).agg(F.sum("bound").alias("bound")).where("bound > 0"), "bounds")
-    leading = bounds.withColumn("_place", F.row_number().over(by_bound)).where(F.col("_place") <= first)
-    leading = store(leading.select("item", *STRATUM), "leading")
-    early = store(plan.join(_small(leading), ["item", *STRATUM]).drop("bound"), "early-visits")
-    known = store(_scored(_small(early), index.postings), "early-scores")
-
-    by_score = Window.partitionBy("item").orderBy(F.desc("score"))
-    last = (
-        known.withColumn("_place", F.row_number().over(by_score))
-        .where(F.col("_place") <= top)
-        .groupBy("item")
-        .agg(F.when(F.count("*") == top, F.min("score")).otherwise(0).alias("least"))
-    )
-    last = store(last, "thresholds")
-    later = (
-        bounds.withColumnRenamed("bound", "_bound")
-        .join(_small(leading), ["item", *STRATUM], "left_anti")
-        .join(_small(last), "item")
-        .where(F.col("_bound") >= F.col("least"))
-        .select("item", *STRATUM, "least")
-    )
-    rising = Window.partitionBy("item", *STRATUM).orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
-    # the terms of least bound that together stay under the threshold make no candidate by themselves
-    split = plan.join(later, ["item", *STRATUM]).withColumn("_needed", F.sum("bound").over(rising) >= F.col("least"))
-    split = store(split, "later-visits")
-    needed = store(split.where("_needed").select("item", *STRATUM, "term", "w"), "needed-visits")
-    rest = split.where("NOT _needed").groupBy("item", *STRATUM).agg(F.sum("bound").alias("_rest"))
-    candidates = (
-        _scored(_small(needed), index.postings)
-        .join(split.select("item", "least").distinct(), "item")
-        .join(rest, ["item", *STRATUM], "left")
-        .where(F.col("score") + F.coalesce("_rest", F.lit(0)) >= F.col("least"))
-        .select("item", *STRATUM, "row", "score")
-    )
-    candidates = store(candidates, "candidates")
-    open_ = candidates.join(split.where("NOT _needed").select("item", *STRATUM, "term", "w"), ["item", *STRATUM])
-    open_ = store(open_.select("item", *STRATUM, "row", "term", "w"), "open")
-    places = store(open_.select(*STRATUM, "term").distinct(), "places")
-    held = index.postings.join(_small(places), [*STRATUM, "term"], "left_semi").select(
-        *STRATUM, "term", "impact", F.explode("rows").alias("row")
-    )
-    added = held.join(_small(open_), [*STRATUM, "term", "row"]).select("item", "row", (F.col("w") * F.col("impact")).alias("score"))
-    scores = (
-        known.select("item", "row", "score")
-        .unionByName(candidates.select("item", "row", "score"))
-        .unionByName(added)
-        .groupBy("item", "row")
-        .agg(F.sum("score").alias("score"))
-        .join(_small(last), "item", "left")
-        .where((F.col("score") > 0) & (F.col("score") >= F.coalesce("least", F.lit(0))))
-    )
-    named = scores.join(index.documents, "row")
-    ranked = Window.partitionBy("item").orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "row")
-    best = named.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+    pairs = asked.select("item", F.explode(F.split("terms", " ")).alias("term"))
+    blocks = max(1, -(-pairs.count() // together))
+    found = []
+    for block in range(blocks):
+        some = pairs.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).toArrow().combine_chunks()
+        if some.num_rows:
+            ranked, rows = _some_items(index, some, top, first)
+            found.append(_named(ranked, rows))
+    if not found:
+        kind = index.strata.schema["ids"].dataType.elementType.simpleString()
+        found = [items.sparkSession.createDataFrame([], f"item long, rank int, id {kind}, score long")]
+    best = reduce(DataFrame.unionByName, found)
     return best.join(asked.select("item", F.col("id").alias("_item_id")), "item").select(
         F.col("_item_id").alias(item_col), F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score"
     )
 
 
+def _named(ranked: DataFrame, rows: np.ndarray) -> DataFrame:
+    """`item` as the row id that the place stands for."""
+    names = ranked.sparkSession.createDataFrame(
+        pa.table({"item": pa.array(np.arange(len(rows))), "_row": pa.array(rows)})
+    )
+    return ranked.join(names, "item").select(F.col("_row").alias("item"), "rank", "id", "score")
+
+
 def rank(
     df: DataFrame,
     items: DataFrame,
