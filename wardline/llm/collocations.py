@@ -15,7 +15,7 @@ from wardline.llm.shared import store
 
 LONGEST = 5
 #: Bytes of one language's texts that are counted together in a task.
-TOGETHER = 8 << 20
+TOGETHER = 2 << 20
 #: Where phrases end, and what parts words inside a piece.
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 NORMAL = bytes(0x0A if x in ENDS else 0x20 if x in BLANKS else bytes([x]).lower()[0] for x in range(256))
