@@ -1,0 +1,152 @@
+"""Phrase collocations against plain counting."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rows import documents, hard
+from wardline.llm import collocations
+from wardline.llm.collocations import chunks, distinct, mine, numbered_words, phrase_counts, windows
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def pieces(text):
+    for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER)):
+        words = re.findall(r"[^\x20\x09]+", piece)
+        if words:
+            yield words
+
+
+def counted(rows, longest):
+    phrases, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for words in pieces(text):
+            totals[lang] += len(words)
+            for k in range(1, longest + 1):
+                phrases.update((lang, tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    return phrases, totals
+
+
+def expected(rows, least, longest=5, percent=100, top=2000):
+    f, n = counted(rows, longest)
+    candidates = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
+    found = {}
+    for (lang, words), a in candidates.items():
+        covered = any(
+            other == lang and len(more) > len(words) and 100 * b >= percent * a
+            and any(more[i : i + len(words)] == words for i in range(len(more)))
+            for (other, more), b in candidates.items()
+        )
+        if covered:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, words[:k]], f[lang, words[k:]]
+            cuts.append((1000 * a * n[lang] // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    return {
+        (lang, rank, phrase.decode(), -a, left, right, n[lang], -score)
+        for lang, of in found.items()
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(of)[:top], 1)
+    }
+
+
+def mined(df, **options):
+    rows = mine(df, **options)
+    assert rows.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return {tuple(r) for r in rows.collect()}
+
+
+def some_rows(seed, n=60):
+    draw = random.Random(seed)
+    words = ["a", "B", "the", "THE", "é", "É", "x\x00y", "--", "long-word", "a\x1f"]
+    marks = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r\n", "! ", "\x0b"]
+    rows = []
+    for i in range(n):
+        text = "".join(draw.choice(words) + draw.choice(marks) for _ in range(draw.randrange(40)))
+        rows.append((i, draw.choice([text, text, None, "", text * 3]), draw.choice(["en", "en", "de", None])))
+    return rows
+
+
+@pytest.mark.parametrize("seed, least, longest, percent", [(1, 3, 5, 100), (2, 2, 3, 100), (3, 5, 5, 80), (4, 2, 2, 100)])
+def test_against_counting(spark, seed, least, longest, percent):
+    rows = some_rows(seed)
+    df = documents(spark, *rows).repartition(5)
+    found = mined(df, least=least, longest=longest, covered_percent=percent)
+    assert found == expected([(lang, text) for _, text, lang in rows], least, longest, percent) and found
+
+
+def test_counts_in_small_chunks(spark, monkeypatch):
+    """However texts are cut up, and however full the sieves are, the counts are the same."""
+    rows = some_rows(7, 80)
+    f, n = counted([(lang, text) for _, text, lang in rows], 4)
+    monkeypatch.setattr(collocations, "TOGETHER", 50)
+    monkeypatch.setattr(collocations, "MOST_BITS", 1 << 16)
+    monkeypatch.setattr(collocations, "BITS_A_PHRASE", 1)
+    totals, counts = phrase_counts(documents(spark, *rows), longest=4, least=4)
+    assert {r["lang"]: r["n"] for r in totals.collect()} == n
+    assert {(r["lang"], tuple(r["words"])): r["n"] for r in counts.collect()} == {k: v for k, v in f.items() if v >= 4}
+
+
+def test_only_the_first_ranks(spark):
+    rows = some_rows(9)
+    found = mined(documents(spark, *rows), least=2, top=3)
+    assert found == expected([(lang, text) for _, text, lang in rows], 2, top=3)
+    assert Counter(r[0] for r in found) == {"en": 3, "de": 3, "und": 3}
+
+
+def test_hard_rows(spark):
+    df = hard(spark)
+    rows = [(r["lang"], r["text"]) for r in df.collect()]
+    assert mined(df, least=2) == expected(rows, 2)
+    assert mined(df) == expected(rows, 100)
+
+
+def test_an_empty_table(spark):
+    assert mined(documents(spark)) == set()
+    assert mined(documents(spark, (1, None), (2, ""), (3, "one"))) == set()
+
+
+def test_products_beyond_64_bits(spark):
+    """1000 * a * n passes 2^63 from some 10^8 words on; here the numbers are given as counts."""
+    a, n, left, right = 3 * 10**11, 7 * 10**13, 4 * 10**11, 10**12
+    df = spark.createDataFrame([(a, n, left, right)], "a long, n long, l long, r long")
+    score = df.selectExpr("(cast(1000 as decimal(38, 0)) * a * n) div (cast(l as decimal(38, 0)) * r) AS s").first()["s"]
+    assert score == 1000 * a * n // (left * right)
+
+
+@settings(deadline=None, max_examples=50)
+@given(st.lists(st.sampled_from(["a", "b", "c", "."]), max_size=30), st.integers(1, 5))
+def test_windows(tokens, order):
+    ids, names = numbered_words(" ".join(tokens).encode().translate(collocations.NORMAL))
+    rows, n = distinct(windows(ids, (ids[:-1] > 0) & (ids[1:] > 0), order)[ids > 0], len(names))
+    found = Counter({tuple(names[i].decode() for i in row): int(c) for row, c in zip(rows, n)})
+    wanted = Counter()
+    for words in pieces(" ".join(tokens)):
+        for i in range(len(words)):
+            some = words[i : i + order]
+            wanted[tuple(some + [""] * (order - len(some)))] += 1
+    assert found == wanted
+
+
+def test_long_texts_are_cut_where_pieces_end(monkeypatch):
+    monkeypatch.setattr(collocations, "TOGETHER", 40)
+    text = "one two three. " * 30 + "x " * 60 + "! four"
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"], "text": [text, text.upper()]})
+    found = list(chunks(iter([batch])))
+    for lang in ("en", "de"):
+        parts = [p for part in (t for k, t in found if k == lang) for p in part.split(b"\n") if p.split()]
+        assert [p.split() for p in parts] == [[w.encode() for w in words] for words in pieces(text)]
+    assert max(len(t) for _, t in found) < 400
+    assert np.mean([len(t) for _, t in found]) > 20
