@@ -23,6 +23,8 @@ PART = 20_000
 FIRST = 16
 #: Terms of items, each with its weight, that are sent to the tasks at once.
 TOGETHER = 500_000
+#: Rows up to which the table of lengths is broadcast.
+BROADCAST_ROWS = 300_000
 #: Items whose scores in a stratum are worked out at once.
 SOME = 256
 
@@ -120,8 +122,9 @@ def build(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: i
     total = found.agg(F.count("*"), F.sum("n")).first()
     n_documents, n_terms = total[0], total[1] or 1
     sized = found.withColumn("m", F.expr(f"10 + (90 * n * {n_documents}L) div {n_terms}L"))
-    parts = sized.groupBy("m").agg(F.ceil(F.sum(F.size("tfs")) / F.lit(part)).alias("parts"))
-    dealt = sized.join(parts, "m").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    parts = store(sized.groupBy("m").agg(F.ceil(F.sum(F.size("tfs")) / F.lit(part)).alias("parts")), "parts")
+    # a row for each length: few, but if they are not, both sides are shuffled
+    dealt = sized.join(F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts, "m").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
     kind = found.schema["id"].dataType.simpleString()
     strata = dealt.select("m", "part", "row", "id", "terms", "tfs").groupBy("m", "part").applyInArrow(
         invert,
@@ -130,6 +133,7 @@ def build(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: i
     )
     strata = store(strata, "strata")
     drop(found)
+    drop(parts)
     return Index(strata, n_documents)
 
 
