@@ -297,3 +297,22 @@ def test_ordered_results(spark):
         rows = wl.derive(name, tables, ordered=True).select(STAY, time).collect()
         keys = [(r[0], r[1] is None, r[1] or 0) for r in rows]
         assert keys and keys == sorted(keys), name
+
+
+def test_weights_are_laid_out_once(spark):
+    """One shuffle each to find what a stay is, to count equal weights and to bring a segment together; the last is shared."""
+    text = final_plan(QUERIES["q4_weight_durations"](spark, SF_DIR))
+    made = re.findall(r"Exchange hashpartitioning", re.sub(r"ReusedExchange[^\n]*", "", text))
+    assert len(made) <= 6 and "ReusedExchange" in text
+    assert "SortAggregate" not in text
+
+
+def test_sums_stay_in_the_hash_table(spark):
+    for name in ("q3_urine_output", "group_sum_avg", "q5_kdigo_creatinine"):
+        assert "SortAggregate" not in final_plan(QUERIES[name](spark, SF_DIR))
+
+
+def test_trailing_sums_have_no_sliding_frames(spark):
+    text = plan(QUERIES["trailing_sum"](spark, SF_DIR))
+    frames = set(re.findall(r"specifiedwindowframe\(RangeFrame, ([^)]*?)\)", text))
+    assert frames and all(f.startswith(("unboundedpreceding", "currentrow")) for f in frames)

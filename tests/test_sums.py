@@ -109,3 +109,9 @@ def test_trailing_sums(spark, width):
             else:
                 wanted = nearest(x for t, x in series[r["k"]].items() if r["t"] - minutes <= t <= r["t"])
             assert r[name] == wanted, (r, name)
+
+
+def test_sums_of_decimals(spark):
+    many = "12345678901234567.123456789012345678"
+    df = spark.createDataFrame([(many,), ("0.1",), (None,)], "x string").select(F.lit(0).alias("k"), F.col("x").cast("decimal(38,18)").alias("x"))
+    assert exact_sums(df, ["k"], {"total": F.col("x")}).first()["total"] == float(Decimal(many) + Decimal("0.1"))

@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MILLION = 1e6
 #: A slice of 18 bits can be added 2^45 times.
@@ -70,6 +71,10 @@ def parts(value: Column) -> Parts:
     )
 
 
+def _decimal_parts(value: Column) -> Parts:
+    return Parts(F.lit(None).cast("long"), exact(value), F.lit(None).cast("decimal(38,36)"))
+
+
 def exact_sum(value: Column) -> Column:
     """The sum of the numbers as a decimal of 18 places; an error if it does not fit one."""
     return checked_sum(F.sum(exact(value)), F.count(value))
@@ -96,7 +101,8 @@ def exact_sums(
     mask = F.lit((1 << SLICE) - 1)
     aggregates = []
     for name, value in sums.items():
-        of = parts(value)
+        is_decimal = isinstance(df.select(value).schema[0].dataType, T.DecimalType)
+        of = _decimal_parts(value) if is_decimal else parts(value)
         aggregates += [
             F.sum(F.shiftright(of.units, 2 * SLICE)).alias(f"_high_{name}"),
             F.sum(F.shiftright(of.units, SLICE).bitwiseAND(mask)).alias(f"_middle_{name}"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from inspect import signature
 
 from pyspark.sql import DataFrame
 
@@ -58,20 +59,24 @@ def derive(
     sources: Mapping[str, DataFrame],
     *,
     store: Callable[[DataFrame, str], DataFrame] | None = None,
-    **options: bool,
+    repeats: str = "error",
+    **options: bool | str,
 ) -> DataFrame:
     """A derived table, made from the source tables in one plan.
 
     ``sources`` may already hold derived tables it is made from; they are then taken from
     there. ``store``, such as ``store_in(folder)``, is given each table on the way that is
-    read more than once, and hands back one that reads what it stored.
+    read more than once, and hands back one that reads what it stored. ``repeats`` goes to every plan on the way that
+    knows it; weights are made of stays listed once in any case.
     """
     if name not in PLANS:
         raise ValueError(f"no table {name!r}; there are {', '.join(PLANS)}")
     plan, inputs = PLANS[name]
     tables = {}
     for n in inputs:
-        tables[n] = sources[n] if n in sources else derive(n, sources, store=store)
+        tables[n] = sources[n] if n in sources else derive(n, sources, store=store, repeats=repeats)
         if store is not None and n not in sources and n in READ_TWICE:
             tables[n] = store(tables[n], n)
+    if "repeats" in signature(plan).parameters:
+        options["repeats"] = repeats
     return plan(**tables, **options)

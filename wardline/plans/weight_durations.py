@@ -107,16 +107,16 @@ def weight_durations(
     )
 
     # Where the next segment of a stay begins; the row of a stay that holds no weight is in the last segment.
-    by_stay = Window.partitionBy(STAY)
-    by_segment = by_stay.orderBy(SEGMENT)
+    by_segment = Window.partitionBy(STAY).orderBy(SEGMENT)
+    whole_stay = by_segment.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # naming all columns in both branches keeps them on one layout, which is then made once
     edges = placed.filter((F.col("_place") == 1) & (F.col("copies") >= 0)).select(
         STAY,
         SEGMENT,
         F.lead("startoffset").over(by_segment).alias("_next_head"),
         F.lag("startoffset").over(by_segment).isNull().alias("_opens_stay"),
-        F.max("admitoffset").over(by_stay).alias("_open"),
-        F.max("unitdischargeoffset").over(by_stay).alias("_close"),
+        F.max("admitoffset").over(whole_stay).alias("_open"),
+        F.max("unitdischargeoffset").over(whole_stay).alias("_close"),
     )
     start = F.col("startoffset")
     of_weights = F.col("admitoffset").isNull() & F.col("unitdischargeoffset").isNull() & (F.col("copies") > 0)
