@@ -51,28 +51,32 @@ def _places_36(value: Column) -> Column:
     return F.when(lost, F.raise_error(message)).otherwise(number)
 
 
-class Parts(NamedTuple):
-    """A number as millionths, or else as a decimal of 18 places and what is beyond them; the unused ones are NULL."""
+#: Columns that `with_parts` adds: millionths, or else a decimal of 18 places and what is beyond them.
+_PARTS = ("_units_", "_wide_", "_fine_")
 
-    units: Column
-    wide: Column
-    fine: Column
 
+def with_parts(df: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
+    """Each number as millionths, or else as a decimal of 18 places and what is beyond them; the unused ones are NULL.
 
-def parts(value: Column) -> Parts:
-    value = value.cast("double")
-    whole = _is_millionths(value, MOST)
-    small = F.abs(value) < 1
-    narrow = F.round(_places_36(value), SLICE)
-    return Parts(
-        F.when(whole, _millionths(value).cast("long")),
-        F.when(value.isNotNull() & ~whole, F.when(small, narrow.cast("decimal(38,18)")).otherwise(exact(value))),
-        F.when(~whole & small, _places_36(value) - narrow),
-    )
-
-
-def _decimal_parts(value: Column) -> Parts:
-    return Parts(F.lit(None).cast("long"), exact(value), F.lit(None).cast("decimal(38,36)"))
+    What several columns need is made one step before them, so that it is worked out once.
+    """
+    decimals = {n for n, c in sums.items() if isinstance(df.select(c).schema[0].dataType, T.DecimalType)}
+    shared, columns = {}, {}
+    for name, value in sums.items():
+        units, wide, fine = (f"{c}{name}" for c in _PARTS)
+        if name in decimals:
+            columns |= {units: F.lit(None).cast("long"), wide: exact(value), fine: F.lit(None).cast("decimal(38,36)")}
+            continue
+        value = value.cast("double")
+        whole = F.col(f"_whole_{name}")
+        small = F.when(~whole & (F.abs(value) < 1), value)
+        narrow = F.round(F.col(f"_small_{name}"), 18)
+        shared[f"_whole_{name}"] = _is_millionths(value, MOST)
+        shared[f"_small_{name}"] = F.when(~_is_millionths(value, MOST) & (F.abs(value) < 1), _places_36(value))
+        columns[units] = F.when(whole, _millionths(value).cast("long"))
+        columns[wide] = F.when(~whole, F.when(small.isNotNull(), narrow.cast("decimal(38,18)")).otherwise(exact(value)))
+        columns[fine] = F.col(f"_small_{name}") - narrow
+    return df.withColumns(shared).withColumns(columns).drop(*shared) if shared else df.withColumns(columns)
 
 
 def exact_sum(value: Column) -> Column:
@@ -99,20 +103,20 @@ def exact_sums(
     then to 28 places before (to 18 from 1e8 on).
     """
     mask = F.lit((1 << SLICE) - 1)
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     aggregates = []
-    for name, value in sums.items():
-        is_decimal = isinstance(df.select(value).schema[0].dataType, T.DecimalType)
-        of = _decimal_parts(value) if is_decimal else parts(value)
+    for name in sums:
+        units, wide, fine = (F.col(f"{c}{name}") for c in _PARTS)
         aggregates += [
-            F.sum(F.shiftright(of.units, 2 * SLICE)).alias(f"_high_{name}"),
-            F.sum(F.shiftright(of.units, SLICE).bitwiseAND(mask)).alias(f"_middle_{name}"),
-            F.sum(of.units.bitwiseAND(mask)).alias(f"_low_{name}"),
-            F.sum(of.wide).alias(f"_wide_{name}"),
-            F.count(of.wide).alias(f"_n_wide_{name}"),
-            F.sum(of.fine).alias(f"_fine_{name}"),
+            F.sum(F.shiftright(units, 2 * SLICE)).alias(f"_high_{name}"),
+            F.sum(F.shiftright(units, SLICE).bitwiseAND(mask)).alias(f"_middle_{name}"),
+            F.sum(units.bitwiseAND(mask)).alias(f"_low_{name}"),
+            F.sum(wide).alias(f"_wide_{name}"),
+            F.count(wide).alias(f"_n_wide_{name}"),
+            F.sum(fine).alias(f"_fine_{name}"),
         ]
     named = {name: c.alias(name) for name, c in (others or {}).items()}
-    added = df.groupBy(*keys).agg(*aggregates, *named.values())
+    added = with_parts(df, sums).groupBy(*keys).agg(*aggregates, *named.values())
     kept = [c for c in added.columns if not c.startswith(_HIDDEN)]
 
     def digits(name: str, power: int, width: int) -> Column:
@@ -171,26 +175,24 @@ def running(
     """Add `<total>_<frame>`: each total over the last minutes of each frame and the row's own.
 
     It is what was added up to the row less what was before the frame. Both only grow as the window goes on, so n
-    rows take n steps, however long the frames are. Rows without a time only see one another.
+    rows take n steps, however long the frames are. Rows without a time see one another: they must be in a window of
+    their own, as segments have them, in which rows with a time add nothing.
     """
-    upto = {"_here": window.rangeBetween(Window.unboundedPreceding, 0), "_peers": window.rangeBetween(0, 0)} | {
+    upto = {"_here": window.rangeBetween(Window.unboundedPreceding, 0)} | {
         f"_before_{frame}": window.rangeBetween(Window.unboundedPreceding, -m - 1) for frame, m in minutes.items()
     }
-    sums = {f"{t}{at}": F.coalesce(of.total.over(w).cast(of.kind), F.lit(0).cast(of.kind)) for t, of in totals.items() for at, w in upto.items()}
-    undated = F.col(time).isNull()
-    return (
-        rows.withColumns(sums)
-        .withColumns(
-            {
-                f"{t}_{frame}": F.when(undated, F.col(f"{t}_peers")).otherwise(
-                    (F.col(f"{t}_here") - F.col(f"{t}_before_{frame}"))
-                )
-                for t in totals
-                for frame in minutes
-            }
-        )
-        .drop(*sums)
-    )
+    sums = {
+        f"{t}{at}": F.coalesce(of.total.over(w).cast(of.kind), F.lit(0).cast(of.kind))
+        for t, of in totals.items()
+        for at, w in upto.items()
+    }
+    dated = F.col(time).isNotNull()
+    frames = {
+        f"{t}_{frame}": F.when(dated, F.col(f"{t}_here") - F.col(f"{t}_before_{frame}")).otherwise(F.col(f"{t}_here"))
+        for t in totals
+        for frame in minutes
+    }
+    return rows.withColumns(sums).withColumns(frames).drop(*sums)
 
 
 def window_totals() -> dict[str, Running]:
@@ -198,15 +200,12 @@ def window_totals() -> dict[str, Running]:
     return {
         "_units": Running(F.sum("_units")),
         "_wide": Running(F.sum("_wide"), "decimal(37,18)"),
-        "_n_units": Running(F.count("_units")),
-        "_n_wide": Running(F.count("_wide")),
+        "_numbers": Running(F.count(F.coalesce(F.col("_units").cast("double"), F.col("_wide").cast("double")))),
     }
 
 
 def window_sum(frame: str) -> Column:
     """The double nearest the sum that `running` found for a frame, NULL without a number."""
     millionths = F.col(f"_units_{frame}").cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(6,6)")
-    return _rounded(
-        F.when(F.col(f"_n_units_{frame}") > 0, millionths),
-        F.when(F.col(f"_n_wide_{frame}") > 0, F.col(f"_wide_{frame}")),
-    )
+    wide = F.col(f"_wide_{frame}")
+    return F.when(F.col(f"_numbers_{frame}") > 0, _rounded(millionths, F.when(wide != 0, wide)))

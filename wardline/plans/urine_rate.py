@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardline.functions.columns import one_of, rounded_rate, rows_or_error
 from wardline.functions.sums import Running, checked_sum, running, window_parts, window_sum, window_totals
 from wardline.operators.intervals import covers, in_force, interval_join, live_intervals, overlapping
-from wardline.operators.segments import own_rows, segment_window, segmented
+from wardline.operators.segments import SEGMENT, UNDATED, own_rows, segment_window, segmented
 from wardline.operators.series import gap
 from wardline.operators.staging import COPIES, repeat_rows
 from wardline.plans.stays import stays, times_listed
@@ -140,7 +140,9 @@ def _multiplied(value: Column, times: Column) -> Column:
 
 
 def _totals() -> dict[str, Running]:
-    return window_totals() | {"minutes": Running(F.sum("minutes"))}
+    # in the segment of rows without a time, the dated row that is carried in counts for nothing
+    counts = F.col(TIME).isNull() | (F.col(SEGMENT) != UNDATED)
+    return window_totals() | {"minutes": Running(F.sum(F.when(counts, F.col("minutes"))))}
 
 
 def _frames() -> dict[str, int]:
