@@ -93,7 +93,7 @@ def test_counts_in_small_chunks(spark, monkeypatch):
     f, n = counted([(lang, text) for _, text, lang in rows], 4)
     monkeypatch.setattr(collocations, "TOGETHER", 50)
     monkeypatch.setattr(collocations, "MOST_BITS", 1 << 16)
-    monkeypatch.setattr(collocations, "BITS_A_PHRASE", 1)
+    monkeypatch.setattr(collocations, "BITS_A_PAIR", 1)
     totals, counts = phrase_counts(documents(spark, *rows), longest=4, least=4)
     assert {r["lang"]: r["n"] for r in totals.collect()} == n
     assert {(r["lang"], tuple(r["words"])): r["n"] for r in counts.collect()} == {k: v for k, v in f.items() if v >= 4}

@@ -15,7 +15,7 @@ from wardline.llm.shared import store
 
 LONGEST = 5
 #: Bytes of one language's texts that are counted together in a task.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 #: Where phrases end, and what parts words inside a piece.
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 NORMAL = bytes(0x0A if x in ENDS else 0x20 if x in BLANKS else bytes([x]).lower()[0] for x in range(256))
@@ -170,18 +170,22 @@ def _windows(df: DataFrame, order: int, kept: tuple[int, np.ndarray] | None) ->
     return df.mapInArrow(counted, f"lang string, {words}, n long")
 
 
-def _marginals(counted: DataFrame, order: int) -> DataFrame:
-    """(lang, words, n) of every phrase that begins a window, and of the language itself: sums over prefixes."""
+def _marginals(counted: DataFrame, order: int, shortest: int) -> DataFrame:
+    """(lang, words, n) of every phrase of `shortest` words or more that begins a window: sums over prefixes.
+
+    With 0 the shortest phrase is the empty one, which stands for the language itself.
+    """
     places = _places(order)
-    summed = counted.rollup("lang", *places).agg(F.sum("n").alias("n"), F.grouping_id().alias("_level"))
+    fixed, rolled = ", ".join(["lang", *places[:shortest]]), ", ".join(places[shortest:])
+    summed = counted.sparkSession.sql(
+        f"SELECT lang, {', '.join(places)}, sum(n) AS n, grouping_id() AS _level "
+        f"FROM {{counted}} GROUP BY {fixed}, ROLLUP({rolled})",
+        counted=counted,
+    )
     # the grouping id of a prefix of j words has its last order - j bits set
     given = [F.when(F.col("_level") < (1 << (order - k - 1)), F.col(c)) for k, c in enumerate(places)]
-    real = F.array_compact(F.array(*given))
-    return (
-        summed.where(F.col("_level") < (1 << order))
-        .select("lang", real.alias("words"), "n")
-        .where(~F.array_contains("words", ""))
-    )
+    words = F.array_compact(F.array(*given))
+    return summed.select("lang", words.alias("words"), "n").where(~F.array_contains("words", ""))
 
 
 def phrase_counts(
@@ -198,13 +202,13 @@ def phrase_counts(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.col(text_col).alias("text")
     )
     size = F.size("words")
-    short = _marginals(_windows(texts, 2, None), 2).where((size == 0) | (F.col("n") >= least))
+    short = _marginals(_windows(texts, 2, None), 2, 0).where((size == 0) | (F.col("n") >= least))
     short = store(short, "words-and-pairs")
     totals = short.where(size == 0).select("lang", "n")
     pairs = short.where(size == 2).select("lang", F.col("words")[0].alias("w1"), F.col("words")[1].alias("w2"))
     if longest == 2:
         return totals, short.where(size > 0)
-    long = _marginals(_windows(texts, longest, sieve(pairs)), longest).where((size >= 2) & (F.col("n") >= least))
+    long = _marginals(_windows(texts, longest, sieve(pairs)), longest, 2).where(F.col("n") >= least)
     return totals, short.where(size == 1).unionByName(store(long, "phrases"))
 
 
