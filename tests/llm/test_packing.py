@@ -7,8 +7,9 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -72,6 +73,26 @@ def test_ids_of_every_character():
         assert [encode(x) for x in texts] == [x.ids for x in wanted]
 
 
+RUNS = [" ", "\n", "\r\n", " \n", "\t", "a", "é", "🙂", "1", "!", "<|endoftext|>"]
+
+
+@pytest.mark.parametrize("special", [True, False])
+@pytest.mark.parametrize("run", RUNS)
+def test_very_long_runs(run, special):
+    """A million characters of one kind, alone and inside a text, have the JSON file's ids."""
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    loaded.encode_special_tokens = not special
+    n = 1_000_000 if run.isspace() else 30_000
+    for text in (run * (n // len(run)), f"one {run * (n // len(run))} two"):
+        assert encoder("byte_bpe_50k", special)(text) == loaded.encode(text, add_special_tokens=False).ids
+
+
+def test_query_with_a_very_long_run(spark):
+    rows = pack(documents(spark, (1, "a" + " " * 1_000_000 + "b"), (2, "\n" * 1_000_000), (3, "c")), special=True)
+    found = {r["doc_id"]: r["n"] for r in rows.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert found == {i: len(plain(t)) for i, t in ((1, "a" + " " * 1_000_000 + "b"), (2, "\n" * 1_000_000), (3, "c"))}
+
+
 def test_pieces(spark):
     df = hard(spark)
     rows = pack(df, keep_ids=True)
@@ -105,6 +126,7 @@ def as_loaded() -> Tokenizer:
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@settings(deadline=None)  # the first example loads the vocabulary
 @given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "a", " ", "\n", "  b", "'s", "1é"]), max_size=12))
 def test_special_token_as_the_tokenizer_is_loaded(parts):
     text = "".join(parts)

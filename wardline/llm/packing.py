@@ -43,10 +43,32 @@ def encoding(name: str = "byte_bpe_50k") -> tiktoken.Encoding:
 
 
 def encoder(name: str, special: bool) -> Callable[[str], list[int]]:
-    """Ids of a text, without END. If `special`, the string of the special token is that one token, wherever it stands."""
-    if not special:
-        return encoding(name).encode_ordinary
-    return partial(encoding(name).encode, allowed_special=set(SPECIAL), disallowed_special=())
+    """Ids of a text, without END. If `special`, the string of the special token is that one token, wherever it stands.
+
+    Where a run of blanks or line ends is too long for the pattern of the fast form, the JSON file's tokenizer takes the text.
+    """
+    fast = partial(encoding(name).encode, allowed_special=set(SPECIAL) if special else set(), disallowed_special=())
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast(text)
+        except ValueError:
+            return tokenizer(name, special).encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
+_tokenizers: dict = {}
+
+
+def tokenizer(name: str, special: bool):
+    """The tokenizer of `<name>.json`, one per Python worker; it and its library are loaded when first needed."""
+    from tokenizers import Tokenizer
+
+    if (name, special) not in _tokenizers:
+        _tokenizers[name, special] = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        _tokenizers[name, special].encode_special_tokens = not special
+    return _tokenizers[name, special]
 
 
 def cut(ids: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
