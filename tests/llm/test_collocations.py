@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 
 from rows import documents, hard
 from wardline.llm import collocations
-from wardline.llm.collocations import chunks, distinct, mine, numbered_words, phrase_counts, windows
+from wardline.llm.collocations import _phrases, chunks, distinct, mine, numbered_words, phrase_counts, prefixes, windows
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -150,3 +150,28 @@ def test_long_texts_are_cut_where_pieces_end(monkeypatch):
         assert [p.split() for p in parts] == [[w.encode() for w in words] for words in pieces(text)]
     assert max(len(t) for _, t in found) < 400
     assert np.mean([len(t) for _, t in found]) > 20
+
+
+@settings(deadline=None, max_examples=50)
+@given(st.lists(st.sampled_from(["a", "b", "c", "."]), max_size=30), st.integers(1, 5), st.data())
+def test_prefixes(tokens, order, data):
+    """Sums over windows give the counts of the phrases of each length, and of no padded ones."""
+    length = data.draw(st.integers(1, order))
+    ids, names = numbered_words(" ".join(tokens).encode().translate(collocations.NORMAL))
+    rows, n = distinct(windows(ids, (ids[:-1] > 0) & (ids[1:] > 0), order)[ids > 0], len(names))
+    rows, n = prefixes(rows, n, length)
+    found = [(("en", tuple(names[i].decode() for i in row)), int(c)) for row, c in zip(rows, n)]
+    f, _ = counted([("en", " ".join(tokens))], length)
+    assert len(found) == len(dict(found))
+    assert dict(found) == {k: v for k, v in f.items() if len(k[1]) == length}
+
+
+def test_rows_are_not_multiplied_before_they_are_summed(spark):
+    """Every row that is summed is a phrase of the text: no Expand, no padded windows."""
+    df = documents(spark, (1, "a b. c"), (2, "a b c", None)).coalesce(1)
+    found = _phrases(df.select("lang", "text").na.fill("und"), 2, None, 0)
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {
+        *(("en", x, 1) for x in ("a", "b", "c", "a b")), ("en", "", 3),
+        *(("und", x, 1) for x in ("a", "b", "c", "a b", "b c")), ("und", "", 3),
+    }

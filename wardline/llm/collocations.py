@@ -85,17 +85,25 @@ def distinct(rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[first], n
 
 
-def _counted(lang: str, rows: np.ndarray, n: np.ndarray, names: list[bytes]) -> pa.RecordBatch:
-    spelled = pa.array(names, pa.binary()).cast(pa.string())
-    columns = [pc.take(spelled, pa.array(rows[:, k])) for k in range(rows.shape[1])]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(n), pa.string()), *columns, pa.array(n, pa.int64())],
-        ["lang", *_places(rows.shape[1]), "n"],
-    )
+def prefixes(rows: np.ndarray, n: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different beginnings of `words` words that `distinct` windows have, and how often: sums over those windows.
+
+    The windows are in order, so those that begin alike stand together; padded beginnings are left out.
+    """
+    full = rows[:, words - 1] > 0
+    rows, n = rows[full, :words], n[full]
+    if not len(rows):
+        return rows, n
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1)))
+    return rows[first], np.add.reduceat(n, first)
 
 
-def _places(order: int) -> list[str]:
-    return [f"w{k}" for k in range(1, order + 1)]
+def _counted(lang: str, rows: np.ndarray, n: np.ndarray, spelled: pa.Array) -> pa.RecordBatch:
+    words = [pc.take(spelled, pa.array(rows[:, k])) for k in range(rows.shape[1])]
+    phrases = pc.binary_join_element_wise(*words, " ") if words else pa.array([""] * len(n), pa.string())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(n), pa.string()), phrases, pa.array(n, pa.int64())], ["lang", "phrase", "n"]
+    )
 
 
 def _pair_hashes(first: np.ndarray, second: np.ndarray, lang: str) -> np.ndarray:
@@ -142,11 +150,13 @@ def sieve(pairs: DataFrame) -> tuple[int, np.ndarray]:
     return bits, map_
 
 
-def _windows(df: DataFrame, order: int, kept: tuple[int, np.ndarray] | None) -> DataFrame:
-    """Counts (lang, w1 .. w<order>, n) of the padded longest windows, added up for some bytes of text at a time.
+def _phrases(df: DataFrame, order: int, kept: tuple[int, np.ndarray] | None, shortest: int) -> DataFrame:
+    """(lang, phrase, n) of every phrase of `shortest` to `order` words, space-joined: sums over the windows it begins.
 
-    Without a sieve each word begins a window. With one, a window ends where a pair does not pass it, and only
-    windows of two words or more are counted.
+    The longest windows are counted, and their beginnings added up, for some bytes of text at a time, so only phrases
+    that are there reach the sums over all texts. Without a sieve each word begins a window. With one, a window ends
+    where a pair does not pass it, and only windows of two words or more are counted. With 0 the shortest phrase
+    is the empty one, which stands for the language itself.
     """
     shared = df.sparkSession.sparkContext.broadcast(kept)
 
@@ -163,29 +173,22 @@ def _windows(df: DataFrame, order: int, kept: tuple[int, np.ndarray] | None) ->
             else:
                 starts = ids > 0
             rows, n = distinct(windows(ids, linked, order)[starts], len(names))
-            for k in range(0, len(n), 100_000):
-                yield _counted(lang, rows[k : k + 100_000], n[k : k + 100_000], names)
-
-    words = ", ".join(f"{c} string" for c in _places(order))
-    return df.mapInArrow(counted, f"lang string, {words}, n long")
+            spelled = pa.array(names, pa.binary()).cast(pa.string())
+            if not shortest and len(n):
+                yield _counted(lang, np.zeros((1, 0), np.int64), n.sum(keepdims=True), spelled)
+            for length in range(max(shortest, 1), order + 1):
+                some, times = prefixes(rows, n, length)
+                for k in range(0, len(times), 100_000):
+                    yield _counted(lang, some[k : k + 100_000], times[k : k + 100_000], spelled)
 
+    rows = df.mapInArrow(counted, "lang string, phrase string, n long")
+    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
-def _marginals(counted: DataFrame, order: int, shortest: int) -> DataFrame:
-    """(lang, words, n) of every phrase of `shortest` words or more that begins a window: sums over prefixes.
 
-    With 0 the shortest phrase is the empty one, which stands for the language itself.
-    """
-    places = _places(order)
-    fixed, rolled = ", ".join(["lang", *places[:shortest]]), ", ".join(places[shortest:])
-    summed = counted.sparkSession.sql(
-        f"SELECT lang, {', '.join(places)}, sum(n) AS n, grouping_id() AS _level "
-        f"FROM {{counted}} GROUP BY {fixed}, ROLLUP({rolled})",
-        counted=counted,
-    )
-    # the grouping id of a prefix of j words has its last order - j bits set
-    given = [F.when(F.col("_level") < (1 << (order - k - 1)), F.col(c)) for k, c in enumerate(places)]
-    words = F.array_compact(F.array(*given))
-    return summed.select("lang", words.alias("words"), "n").where(~F.array_contains("words", ""))
+def _split(phrases: DataFrame) -> DataFrame:
+    """(lang, words, n): no word holds a space."""
+    words = F.when(F.col("phrase") != "", F.split("phrase", " ")).otherwise(F.array().cast("array<string>"))
+    return phrases.select("lang", words.alias("words"), "n")
 
 
 def phrase_counts(
@@ -193,8 +196,8 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, n) of all words of each language, and (lang, words, n) of every phrase that occurs `least` times or more.
 
-    Each word begins one window, so the sum over windows with a prefix is the number of times the prefix occurs: one
-    ROLLUP gives the counts of all its lengths. It is done twice. Windows of two words give the totals, words
+    Each word begins one window, so the sum over windows with a prefix is the number of times the prefix occurs; one
+    pass gives the counts of all its lengths. It is done twice. Windows of two words give the totals, words
     and pairs. A longer phrase is no more frequent than the pairs in it, so the windows of `longest` words are then
     padded from the first pair on that is too rare; they are few enough to be shuffled.
     """
@@ -202,14 +205,14 @@ def phrase_counts(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.col(text_col).alias("text")
     )
     size = F.size("words")
-    short = _marginals(_windows(texts, 2, None), 2, 0).where((size == 0) | (F.col("n") >= least))
-    short = store(short, "words-and-pairs")
+    short = _phrases(texts, 2, None, 0).where((F.col("phrase") == "") | (F.col("n") >= least))
+    short = store(_split(short), "words-and-pairs")
     totals = short.where(size == 0).select("lang", "n")
     pairs = short.where(size == 2).select("lang", F.col("words")[0].alias("w1"), F.col("words")[1].alias("w2"))
     if longest == 2:
         return totals, short.where(size > 0)
-    long = _marginals(_windows(texts, longest, sieve(pairs)), longest, 2).where(F.col("n") >= least)
-    return totals, short.where(size == 1).unionByName(store(long, "phrases"))
+    long = _phrases(texts, longest, sieve(pairs), 2).where(F.col("n") >= least)
+    return totals, short.where(size == 1).unionByName(store(_split(long), "phrases"))
 
 
 def mine(
