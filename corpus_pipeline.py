@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +13,29 @@ from wardline.llm.shared import store
 
 #: Least share of the best language, and least probability of good quality, of a document that stays.
 LANGUAGE, QUALITY = 0.5, 0.5
+#: Bytes of rows that go to Python together. Spark's 64 MB are met only after 10,000 rows of common texts, and then an
+#: executor and its Python workers hold each of them several times.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def short_batches(stage: Stage) -> Stage:
+    """The stage, in a session whose rows go to Python in batches of BATCH_BYTES, unless it has a limit of its own.
+
+    What a stage returns is worked out later, so the limit stays set.
+    """
+
+    @wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(BATCH, None) is None:
+            spark.conf.set(BATCH, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return limited
 
 
+@short_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter, or with words of several, go."""
     predict = language.predictor(language.learn(docs), spark)
@@ -20,6 +44,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(known).select(*docs.columns)
 
 
+@short_batches
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of good quality, as `labels` mark it."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -27,16 +52,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.withColumn("_quality", score(F.col("text"))).where(F.col("_quality") >= QUALITY).select(*docs.columns)
 
 
+@short_batches
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+@short_batches
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by shared shingles, the one with the smallest id stays."""
     return jaccard_join.keep_one(docs)
 
 
+@short_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of the remaining documents goes."""
     return packing.pack(docs, special=True)
