@@ -4,9 +4,11 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import documents, hard
 from wardline.llm.exact_dedup import drop_copies, mark_copies
+from wardline.llm.shared import lower_ascii
 
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -48,3 +50,17 @@ def test_empty(spark):
     df = documents(spark)
     assert mark_copies(df).count() == 0
     assert drop_copies(df).count() == 0
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    texts = [None, "", "ABC xyz", "A\x00Z[`{@", "\u212aELVIN K", "İI", "ΣΑΣ A", "Éa É", "ẞ SS", "🙂A", "Ａ A"]
+    df = documents(spark, *enumerate(texts))
+    lowered = dict(df.select("doc_id", lower_ascii(F.col("text"))).collect())
+    assert lowered == {i: x and x.encode().lower().decode() for i, x in enumerate(texts)}
+
+
+def test_ascii_texts_are_not_taken_apart_by_character(spark):
+    """`translate` makes objects for each character, which once filled an executor's heap."""
+    lowered = lower_ascii(F.col("text"))
+    plan = spark.range(1).select(F.lit("A").alias("text")).repartition(1).select(lowered)
+    assert "THEN lower(" in plan._jdf.queryExecution().analyzed().toString()

@@ -43,8 +43,14 @@ def drop(df: DataFrame) -> None:
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z and nothing else; null stays null."""
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z to a-z and nothing else; null stays null.
+
+    `translate` makes an object for each character, `lower` none for texts of ASCII, for which both are the same.
+    """
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    )
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:
