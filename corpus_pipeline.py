@@ -9,13 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import exact_dedup, jaccard_join, language, packing, quality
-from wardline.llm.shared import store
+from wardline.llm.shared import BATCH, BATCH_BYTES, store
 
 #: Least share of the best language, and least probability of good quality, of a document that stays.
 LANGUAGE, QUALITY = 0.5, 0.5
-#: Bytes of rows that go to Python together. Spark's 64 MB are met only after 10,000 rows of common texts, and then an
-#: executor and its Python workers hold each of them several times.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from rows import documents, hard
 from wardline.llm import collocations
 from wardline.llm.collocations import _phrases, chunks, distinct, mine, numbered_words, phrase_counts, prefixes, windows
+from wardline.llm.shared import BATCH, BATCH_BYTES
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -175,3 +176,21 @@ def test_rows_are_not_multiplied_before_they_are_summed(spark):
         *(("en", x, 1) for x in ("a", "b", "c", "a b")), ("en", "", 3),
         *(("und", x, 1) for x in ("a", "b", "c", "a b", "b c")), ("und", "", 3),
     }
+
+
+@pytest.mark.parametrize("own", [None, "1m"])
+def test_texts_go_to_python_in_short_batches(spark, monkeypatch, own):
+    before, limits = spark.conf.get(BATCH, None), []
+
+    def stored(df, name, store=collocations.store):
+        limits.append(spark.conf.get(BATCH, None))
+        return store(df, name)
+
+    monkeypatch.setattr(collocations, "store", stored)
+    try:
+        spark.conf.unset(BATCH) if own is None else spark.conf.set(BATCH, own)
+        phrase_counts(documents(spark, (1, "a b c"), (2, "a b c")), least=1)
+        assert limits == [own or str(BATCH_BYTES)] * 2
+        assert spark.conf.get(BATCH, None) == own
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)

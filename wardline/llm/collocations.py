@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.shared import store
+from wardline.llm.shared import short_batches, store
 
 LONGEST = 5
 #: Bytes of one language's texts that are counted together in a task.
@@ -206,13 +206,16 @@ def phrase_counts(
     )
     size = F.size("words")
     short = _phrases(texts, 2, None, 0).where((F.col("phrase") == "") | (F.col("n") >= least))
-    short = store(_split(short), "words-and-pairs")
+    with short_batches(df.sparkSession):
+        short = store(_split(short), "words-and-pairs")
     totals = short.where(size == 0).select("lang", "n")
     pairs = short.where(size == 2).select("lang", F.col("words")[0].alias("w1"), F.col("words")[1].alias("w2"))
     if longest == 2:
         return totals, short.where(size > 0)
-    long = _phrases(texts, longest, sieve(pairs), 2).where(F.col("n") >= least)
-    return totals, short.where(size == 1).unionByName(store(_split(long), "phrases"))
+    with short_batches(df.sparkSession):
+        long = _phrases(texts, longest, sieve(pairs), 2).where(F.col("n") >= least)
+        long = store(_split(long), "phrases")
+    return totals, short.where(size == 1).unionByName(long)
 
 
 def mine(

@@ -5,13 +5,17 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Numbering deals the rows of a group to this many windows.
 BUCKETS = 256
+#: Bytes of rows that go to Python together. Spark's 64 MB are met only after 10,000 rows of common texts, and then an
+#: executor and its Python workers hold each of them several times.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def folder(spark: SparkSession) -> str:
@@ -42,6 +46,19 @@ def drop(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """What is stored within goes to Python in batches of BATCH_BYTES, unless the session has a limit of its own."""
+    ours = spark.conf.get(BATCH, None) is None
+    if ours:
+        spark.conf.set(BATCH, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(BATCH)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; null stays null.
 
